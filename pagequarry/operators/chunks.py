@@ -102,8 +102,9 @@ def split_documents(
     ).select("source", "chunk_no", "_chunk.start_index", "_chunk.page_content")
 
 
-def chunk_counts(chunks: DataFrame) -> DataFrame:
+def chunk_counts(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """One row (n_documents, n_chunks)."""
-    return chunks.agg(
-        F.count_distinct("source").alias("n_documents"), F.count(F.lit(1)).alias("n_chunks")
+    n_documents = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return chunks.agg(F.count(F.lit(1)).alias("n_chunks")).select(
+        n_documents.alias("n_documents"), "n_chunks"
     )

@@ -99,42 +99,46 @@ def write(docs: DataFrame, path: str, segment: str = "base") -> None:
 
     Postings are range-sorted by bucket, term and document: a frequent term
     runs over many files instead of one, and a search reads only the buckets
-    and row groups of its terms. Writing a segment again replaces it, so a
-    repeated attempt adds nothing twice. ``docs`` is written last; a segment
-    without it does not count.
+    and row groups of its terms. ``stats`` is written last; a segment without
+    it does not count. Writing a segment again replaces it, so a repeated
+    attempt adds nothing twice.
     """
     spark = docs.sparkSession
 
-    def put(df: DataFrame, table: str, *partition: str) -> str:
+    def put(df: DataFrame, table: str, *partition: str) -> DataFrame:
         target = f"{path}/{table}/segment={segment}"
         df.write.mode("overwrite").partitionBy(*partition).parquet(target)
-        return target
+        return spark.read.schema(df.schema).parquet(target)
 
+    order = ["bucket", "term", "doc_id"]
     postings = make_postings(docs)
-    where = put(
-        postings.repartitionByRange("bucket", "term", "doc_id").sortWithinPartitions(
-            "bucket", "term", "doc_id"
-        ),
-        "postings",
-        "bucket",
+    stored = put(
+        postings.repartitionByRange(*order).sortWithinPartitions(*order), "postings", "bucket"
     )
-    put(term_statistics(spark.read.schema(postings.schema).parquet(where)), "terms")
-    stored = stored_documents(docs)
-    where = put(stored, "docs")
-    put(corpus_statistics(spark.read.schema(stored.schema).parquet(where)), "stats")
+    put(term_statistics(stored), "terms")
+    put(corpus_statistics(put(stored_documents(docs), "docs")), "stats")
+
+
+def _segments(spark: SparkSession, path: str) -> list[str]:
+    """Complete segments; one row each."""
+    stats = read_if_present(spark, f"{path}/stats")
+    return [] if stats is None else [row["segment"] for row in stats.select("segment").collect()]
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Read a stored index with all its segments."""
+    """Read a stored index with all its complete segments."""
+    segments = _segments(spark, path)
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{path}/{name}").drop("segment")
+    def table(name: str, *columns: str) -> DataFrame:
+        stored = spark.read.parquet(f"{path}/{name}")
+        return stored.where(F.col("segment").isin(segments)).select(*columns)
 
+    terms = table("terms", "term", "df", "max_tf", "min_len")
     return Index(
-        docs=table("docs"),
-        postings=table("postings").select("bucket", "term", "doc_id", "tf", "doc_len"),
-        terms=merge_term_statistics(table("terms")),
-        stats=table("stats").agg(
+        docs=table("docs", "doc_id", "url", "content", "snippet", "doc_len"),
+        postings=table("postings", "bucket", "term", "doc_id", "tf", "doc_len"),
+        terms=terms if len(segments) == 1 else merge_term_statistics(terms),
+        stats=table("stats", "n_docs", "total_len").agg(
             F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len")
         ),
     )
@@ -145,14 +149,14 @@ def append(docs: DataFrame, path: str, segment: str) -> None:
 
     Stored documents keep their content. The segment's own earlier attempt
     does not count as stored, so an interrupted append can be run again. Of
-    several new documents with one id, the one with the least content wins.
+    several new documents with one id, the least by content wins.
     """
-    stored = read_if_present(docs.sparkSession, f"{path}/docs")
+    spark = docs.sparkSession
+    others = [name for name in _segments(spark, path) if name != segment]
     fresh = docs
-    if stored is not None:
-        known = stored.where(F.col("segment") != segment).select("doc_id")
-        fresh = docs.join(known, "doc_id", "left_anti")
-    fresh = fresh.groupBy("doc_id").agg(
-        F.min(F.struct("content", "url")).alias("_row")
-    ).select("doc_id", F.col("_row.url").alias("url"), F.col("_row.content").alias("content"))
-    write(fresh, path, segment)
+    if others:
+        stored = spark.read.parquet(f"{path}/docs").where(F.col("segment").isin(others))
+        fresh = docs.join(stored.select("doc_id"), "doc_id", "left_anti")
+    row = F.min(F.struct("content", "url")).alias("_row")
+    fresh = fresh.groupBy("doc_id").agg(row)
+    write(fresh.select("doc_id", "_row.url", "_row.content"), path, segment)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx
@@ -69,20 +69,14 @@ def most_similar(
         k + 1,  # the word itself is among them, unless others tie with it
         "cosine",
     ).where(F.col("query_id") != F.col("item_id"))
-    own_first = F.count(F.lit(1)).over(_before())
+    # at most k + 1 rows per word are left here
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "item_id"))
     return (
-        found.withColumn("rank_no", own_first.cast("int"))
+        found.withColumn("rank_no", place)
         .where(F.col("rank_no") <= k)
-        .select(F.col("query_id").alias("word"), F.col("item_id").alias("related"), "rank_no", "score")
-    )
-
-
-def _before():
-    # k + 1 rows at most per word
-    from pyspark.sql import Window
-
-    return Window.partitionBy("query_id").orderBy(F.desc("score"), "item_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+        .select(
+            F.col("query_id").alias("word"), F.col("item_id").alias("related"), "rank_no", "score"
+        )
     )
 
 
