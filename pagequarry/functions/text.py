@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -33,6 +34,15 @@ MARKUP = HIDDEN + "|" + TAG
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once.
+
+    A column used inside a lambda, or in several branches, is otherwise
+    evaluated again at each place.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def is_html(body: Column) -> Column:
     """F1 on stored bodies: does the text look like an HTML page?"""
     return body.rlike(r"(?i)<html")
@@ -77,16 +87,16 @@ def unescape(text: Column) -> Column:
 
     def piece(part: Column) -> Column:
         reference = F.regexp_extract(part, REFERENCE, 0)
-        decoded = character(F.rtrim(reference, F.lit(";")))
-        rest = F.substr(part, F.length(reference) + 1)
-        return F.when(
-            (reference == "") | decoded.isNull(), F.concat(F.lit("&"), part)
-        ).otherwise(F.concat(decoded, rest))
+        decoded = bind(reference, lambda r: F.when(r != "", character(F.rtrim(r, F.lit(";")))))
+        rest = F.regexp_replace(part, REFERENCE, "")
+        return F.coalesce(F.concat(decoded, rest), F.concat(F.lit("&"), part))
 
-    parts = F.split(text, "&")
-    tail = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    decoded = F.concat(parts[0], F.array_join(F.transform(tail, piece), ""))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decode(whole: Column) -> Column:
+        parts = F.split(whole, "&")
+        tail = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.concat(parts[0], F.array_join(F.transform(tail, piece), ""))
+
+    return bind(text, lambda t: F.when(t.contains("&"), decode(t)).otherwise(t))
 
 
 def html_text(html: Column) -> Column:
@@ -131,9 +141,12 @@ def ascii_words(text: Column) -> Column:
 
 def reflow(tokens: Column, per_line: int = WORDS_PER_LINE) -> Column:
     """Lines of ``per_line`` words."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)), F.lit(per_line))
-    lines = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(per_line)), " "))
-    return F.array_join(lines, "\n")
+
+    def lines(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(per_line))
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, F.lit(per_line)), " "))
+
+    return F.array_join(bind(tokens, lines), "\n")
 
 
 def clean_for_answers(html: Column) -> Column:

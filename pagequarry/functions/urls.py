@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagequarry.functions.text import bind
 from pagequarry.functions.fixed import RESOURCE_MARKS, ROBOTS_EXTRA_PATH, VOLATILE_PARAMETERS
 
-SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+PARTS = (
+    r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+)
 
 
 def encode_key(url: Column) -> Column:
@@ -24,18 +27,9 @@ def decode_key(key: Column) -> Column:
 
 def _parts(url: Column) -> dict[str, Column]:
     """Scheme, netloc, path, query and fragment, split the generic way."""
-    url = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme = F.regexp_extract(url, SCHEME, 1)
-    rest = F.when(scheme == "", url).otherwise(F.substr(url, F.length(scheme) + 2))
-    pattern = r"(?s)^(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-    netloc, path, query, fragment = (F.regexp_extract(rest, pattern, i) for i in (1, 2, 3, 4))
-    return {
-        "scheme": F.lower(scheme),
-        "netloc": netloc,
-        "path": path,
-        "query": query,
-        "fragment": fragment,
-    }
+    url = F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+    names = ("scheme", "netloc", "path", "query", "fragment")
+    return {name: F.regexp_extract(url, PARTS, i + 1) for i, name in enumerate(names)}
 
 
 def netloc(url: Column) -> Column:
@@ -45,7 +39,7 @@ def netloc(url: Column) -> Column:
 def site_root(url: Column) -> Column:
     """``scheme://netloc`` of an absolute URL."""
     parts = _parts(url)
-    return F.concat(parts["scheme"], F.lit("://"), parts["netloc"])
+    return F.concat(F.lower(parts["scheme"]), F.lit("://"), parts["netloc"])
 
 
 def is_resource(link: Column, marks: list[str] = RESOURCE_MARKS) -> Column:
@@ -58,8 +52,7 @@ def is_resource(link: Column, marks: list[str] = RESOURCE_MARKS) -> Column:
 
 def is_same_host(link: Column, root_host: str | Column) -> Column:
     """no host, or exactly the root host with its port."""
-    host = netloc(link)
-    return (host == "") | (host == root_host)
+    return netloc(link).isin("", root_host)
 
 
 def starts_at_root(link: Column, root: str | Column) -> Column:
@@ -71,15 +64,18 @@ def canonical_link(
     link: Column, root_host: str | Column, marks: list[str] = RESOURCE_MARKS
 ) -> Column:
     """T10 with F3 and F4: the page a link means, NULL if it is not a page of this host."""
-    parts = _parts(link)
     host = F.lit(root_host) if isinstance(root_host, str) else root_host
-    # an empty ';' parameter of the last segment is dropped, others stay in the path
-    path = F.regexp_replace(parts["path"], r"(^|/)([^/;]*);$", "$1$2")
-    path = F.when((path == "") | path.startswith("/"), path).otherwise(
-        F.concat(F.lit("/"), path)
-    )
-    whole = F.regexp_replace(F.concat(F.lit("https://"), host, path), "/+$", "")
-    return F.when(~is_resource(link, marks) & is_same_host(link, host), whole)
+    parts = _parts(link)
+
+    def rebuilt(split: Column) -> Column:
+        # an empty ';' parameter of the last segment is dropped, others stay in the path
+        path = F.regexp_replace(split["path"], r"(^|/)([^/;]*);$", "$1$2")
+        slash = F.when((path == "") | path.startswith("/"), F.lit("")).otherwise(F.lit("/"))
+        whole = F.regexp_replace(F.concat(F.lit("https://"), host, slash, path), "/+$", "")
+        return F.when(split["netloc"].isin("", host), whole)
+
+    split = F.struct(parts["netloc"].alias("netloc"), parts["path"].alias("path"))
+    return F.when(~is_resource(link, marks), bind(split, rebuilt))
 
 
 def absolute_link(href: Column, root: str | Column) -> Column:
@@ -103,37 +99,40 @@ def drop_parameters(url: Column, drop: list[str] = VOLATILE_PARAMETERS) -> Colum
     Blank values go, equal names are grouped at their first place, and the
     fragment is kept.
     """
-    parts = _parts(url)
-    pairs = F.filter(
-        F.transform(
-            F.split(parts["query"], "&"),
+
+    def pairs_of(query: Column) -> Column:
+        pairs = F.transform(
+            F.split(query, "&"),
             lambda item: F.struct(
                 _form_decode(F.substring_index(item, "=", 1)).alias("name"),
                 _form_decode(F.regexp_extract(item, "(?s)^[^=]*=(.*)$", 1)).alias("value"),
             ),
-        ),
-        lambda pair: (pair["value"] != "") & ~pair["name"].isin(drop),
-    )
-    names = F.array_distinct(F.transform(pairs, lambda pair: pair["name"]))
-    grouped = F.flatten(
-        F.transform(names, lambda name: F.filter(pairs, lambda pair: pair["name"] == name))
-    )
-    query = F.array_join(
-        F.transform(
-            grouped,
-            lambda pair: F.concat(_form_encode(pair["name"]), F.lit("="), _form_encode(pair["value"])),
-        ),
-        "&",
-    )
-
-    def after(mark: str, text: Column) -> Column:
-        return F.when(text == "", F.lit("")).otherwise(F.concat(F.lit(mark), text))
-
-    scheme = F.when(parts["scheme"] == "", F.lit("")).otherwise(
-        F.concat(parts["scheme"], F.lit(":"))
-    )
-    host_path = F.concat(after("//", parts["netloc"]), parts["path"])
-    return F.concat(scheme, host_path, after("?", query), after("#", parts["fragment"]))
+        )
+        return F.filter(pairs, lambda pair: (pair["value"] != "") & ~pair["name"].isin(drop))
+
+    def grouped(pairs: Column) -> Column:
+        names = F.array_distinct(F.transform(pairs, lambda pair: pair["name"]))
+        return F.flatten(
+            F.transform(names, lambda name: F.filter(pairs, lambda pair: pair["name"] == name))
+        )
+
+    def written(pair: Column) -> Column:
+        return F.concat(_form_encode(pair["name"]), F.lit("="), _form_encode(pair["value"]))
+
+    def joined(split: Column) -> Column:
+        query = F.array_join(F.transform(bind(pairs_of(split["query"]), grouped), written), "&")
+        return F.concat(
+            F.lower(split["scheme"]),
+            F.when(split["scheme"] == "", F.lit("")).otherwise(F.lit(":")),
+            F.when(split["netloc"] == "", F.lit("")).otherwise(F.lit("//")),
+            split["netloc"],
+            split["path"],
+            bind(query, lambda q: F.when(q == "", q).otherwise(F.concat(F.lit("?"), q))),
+            F.when(split["fragment"] == "", F.lit("")).otherwise(F.lit("#")),
+            split["fragment"],
+        )
+
+    return bind(F.struct(*[part.alias(name) for name, part in _parts(url).items()]), joined)
 
 
 def flat_file_name(url: Column) -> Column:

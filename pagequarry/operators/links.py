@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx, urls
 from pagequarry.functions.fixed import RESOURCE_MARKS, VOLATILE_PARAMETERS
-from pagequarry.operators.spread import dense_ids, measure, spread_join
+from pagequarry.operators.spread import dense_ids, measure, row_bytes, spread_join
 from pagequarry.session import Workspace
 
 # A start tag; quoted attribute values may hold '>'.
@@ -23,33 +23,47 @@ HREF = ATTRIBUTES + r"""[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
 def page_links(
-    pages: DataFrame, anchors_only: bool = False, accept: Callable[[Column], Column] | None = None
+    pages: DataFrame,
+    anchors_only: bool = False,
+    accept: Callable[[Column], Column] | None = None,
+    resolve: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``pages(url, html)`` to (src, pos, href), one row per link in page order.
 
-    ``accept`` (X3) is a predicate on the raw href.
+    ``accept`` (X3) is a predicate on the href. ``resolve`` turns an href into
+    a column ``dst``; links it gives no value for are dropped. Both run inside
+    the page's array of links, so each link is looked at once.
     """
     name = r"a(?=[\s/>])" if anchors_only else "[a-zA-Z]"
     visible = F.regexp_replace(F.col("html"), tx.HIDDEN, "")
     tags = F.regexp_extract_all(visible, F.lit("(?i)" + START_TAG.format(name=name)), F.lit(0))
     tags = F.filter(tags, lambda tag: tag.rlike(HAS_HREF))
-    hrefs = F.transform(
-        tags, lambda tag: F.regexp_replace(F.regexp_extract(tag, HREF, 1), "^[\"']|[\"']$", "")
-    )
-    links = pages.select(
-        *[c for c in pages.columns if c not in ("url", "html")],
-        F.col("url").alias("src"),
-        F.posexplode(hrefs).alias("pos", "href"),
-    ).withColumn("href", tx.unescape(F.col("href")))
-    return links if accept is None else links.where(accept(F.col("href")))
+
+    def link(tag: Column, pos: Column) -> Column:
+        value = F.regexp_replace(F.regexp_extract(tag, HREF, 1), "^[\"']|[\"']$", "")
+        return F.struct(pos.alias("pos"), tx.unescape(value).alias("href"))
+
+    links = F.transform(tags, link)
+    if accept is not None:
+        links = F.filter(links, lambda x: accept(x["href"]))
+    if resolve is not None:
+        links = F.transform(
+            links,
+            lambda x: F.struct(
+                x["pos"].alias("pos"), x["href"].alias("href"), resolve(x["href"]).alias("dst")
+            ),
+        )
+        links = F.filter(links, lambda x: x["dst"].isNotNull())
+    others = [c for c in pages.columns if c not in ("url", "html")]
+    return pages.select(*others, F.col("url").alias("src"), F.inline(links))
 
 
 def _host(root_host: str | None) -> Column:
-    return urls.netloc(F.col("src")) if root_host is None else F.lit(root_host)
+    return urls.netloc(F.col("url")) if root_host is None else F.lit(root_host)
 
 
 def _root(root: str | None) -> Column:
-    return urls.site_root(F.col("src")) if root is None else F.lit(root)
+    return urls.site_root(F.col("url")) if root is None else F.lit(root)
 
 
 def known_page_edges(
@@ -59,10 +73,11 @@ def known_page_edges(
 
     Without ``root_host`` each page's own host is its root.
     """
-    found = page_links(pages).select(
-        "src", urls.canonical_link(F.col("href"), _host(root_host), marks).alias("dst")
+    host = _host(root_host)
+    found = page_links(
+        pages.select("url", "html"), resolve=lambda href: urls.canonical_link(href, host, marks)
     )
-    return edges_between(found, pages.select("url"))
+    return edges_between(found.select("src", "dst"), pages.select("url"))
 
 
 def edges_between(found: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -72,7 +87,7 @@ def edges_between(found: DataFrame, nodes: DataFrame) -> DataFrame:
     per page, and pages everyone links to are spread over tasks.
     """
     counted = (
-        found.where(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+        found.where(F.col("src") != F.col("dst"))
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
@@ -84,15 +99,21 @@ def edges_between(found: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def graph_nodes(edges: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Every URL that is a page or a link target."""
-    nodes = edges.select(F.col("src").alias("url")).union(edges.select("dst"))
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("url"))
     if pages is not None:
         nodes = nodes.union(pages.select("url"))
     return nodes.distinct()
 
 
-def _with_self_loops(edges: DataFrame, pages: DataFrame) -> DataFrame:
-    loops = graph_nodes(edges, pages).select(F.col("url").alias("src"), F.col("url").alias("dst"))
-    return edges.select("src", "dst").union(loops).distinct()
+def with_self_loops(edges: DataFrame, pages: DataFrame) -> DataFrame:
+    """A2: each edge once, and an edge from every page and every target to itself."""
+    def edge(src: str, dst: str) -> Column:
+        return F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"))
+
+    both = edges.select(
+        F.inline(F.array(edge("src", "dst"), edge("src", "src"), edge("dst", "dst")))
+    )
+    return both.union(pages.select(F.col("url").alias("src"), F.col("url").alias("dst"))).distinct()
 
 
 def crawl_edges_all(
@@ -102,20 +123,20 @@ def crawl_edges_all(
     drop: list[str] = VOLATILE_PARAMETERS,
 ) -> DataFrame:
     """G4, every link counts: distinct (src, dst) over all discovered URLs, with self-loops."""
-    root_col = _root(root)
-    links = page_links(pages, anchors_only=True).where(
-        urls.starts_at_root(F.col("href"), root_col)
-    )
-    full = urls.drop_parameters(urls.absolute_link(F.col("href"), root_col), drop)
-    found = (
-        links.select("src", full.alias("dst"), root_col.alias("_root"))
-        .where(F.col("dst").startswith(F.col("_root")))
-        .select("src", "dst")
-        .distinct()
+    pages = pages.select("url", "html", _root(root).alias("_root"))
+    site = F.col("_root")
+
+    def full(href: Column) -> Column:
+        url = urls.drop_parameters(urls.absolute_link(href, site), drop)
+        return tx.bind(url, lambda u: F.when(u.startswith(site), u))
+
+    found = page_links(
+        pages, anchors_only=True, accept=lambda href: urls.starts_at_root(href, site), resolve=full
     )
+    found = found.select("src", "dst").distinct()
     if robots is not None:
         found = allowed_urls(found, robots, "dst")
-    return _with_self_loops(found, pages)
+    return with_self_loops(found, pages)
 
 
 def crawl_edges_first(
@@ -126,18 +147,19 @@ def crawl_edges_first(
     ``order`` is the column that says in which order the pages were read. The
     first page is the seed and is never discovered.
     """
-    canonical = urls.canonical_link(F.col("href"), _host(root_host), marks)
-    found = page_links(pages).select(
-        "src", canonical.alias("dst"), F.struct(F.col(order), "pos", "src").alias("_place")
+    host = _host(root_host)
+    found = page_links(
+        pages.select(order, "url", "html"),
+        resolve=lambda href: urls.canonical_link(href, host, marks),
     )
     first = (
-        found.where(F.col("dst").isNotNull())
-        .groupBy("dst")
-        .agg(F.min("_place").alias("_place"))  # partial minima, so a popular target is cheap
+        found.groupBy("dst")
+        # partial minima, so a popular target is cheap
+        .agg(F.min(F.struct(order, "pos", "src")).alias("_place"))
         .select(F.col("_place.src").alias("src"), "dst")
     )
     seed = pages.agg(F.min_by("url", order).alias("url")).scalar()
-    return _with_self_loops(first.where(F.col("dst") != seed), pages)
+    return with_self_loops(first.where(F.col("dst") != seed), pages)
 
 
 def out_degree(edges: DataFrame) -> DataFrame:
@@ -150,7 +172,8 @@ def outgoing_lists(edges: DataFrame, part_size: int = 10_000) -> DataFrame:
     """A4: targets of each page as sorted arrays (src, part, n_parts, targets).
 
     A page with more than ``part_size`` targets gets several arrays, split by a
-    hash of the target, so no row or task grows with the largest page.
+    hash of the target, so no row or task grows with the largest page. The
+    edges are read more than once; store them first.
     """
     degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
     n_parts = F.ceil(F.col("_n") / F.lit(part_size)).cast("int")
@@ -243,13 +266,15 @@ def expand_frontier(
         numbered.write.mode("overwrite").parquet(ws.path(f"reached/depth={depth}"))
         # sorted_idx is rewritten by the next level, the stored level is not
         current = spark.read.schema(numbered.schema).parquet(ws.path(f"reached/depth={depth}"))
-        size = current.count()
+        size, size_bytes = current.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(current)), F.lit(0))
+        ).first()
         done += size
-        reached = spark.read.parquet(ws.path("reached")).select("url", "idx", "depth")
+        reached = spark.read.schema("url string, idx long, depth int").parquet(ws.path("reached"))
         if size == 0 or (budget is not None and done >= budget):
             return reached
         parents = current.select(F.col("url").alias("src"), F.col("idx").alias("_parent"))
-        found = spread_join(edges, parents, ["src"], spread_on=["dst"])
+        found = spread_join(edges, parents, ["src"], spread_on=["dst"], small_bytes=size_bytes)
         level = (
             found.groupBy(F.col("dst").alias("url"))
             .agg(F.min(F.struct("_parent", "pos")).alias("_place"))

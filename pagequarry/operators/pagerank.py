@@ -35,7 +35,7 @@ def pagerank(
     round's ranks are stored (two tables take turns), which keeps every plan
     one round deep and lets a lost executor's work start from the last round.
     """
-    spark = edges.sparkSession
+    edges = ws.save(edges.select("src", "dst", "weight"), "edges")
     hot = F.broadcast(hot_keys(edges, ["src"]))
     salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
     placed = ws.save(

@@ -16,6 +16,7 @@ from queries.inputs import (
     nation_links,
     nation_nodes,
     site_robots,
+    stored_once,
     table,
     wiki_pages,
 )
@@ -120,8 +121,16 @@ def crawl_edges_first(spark, sf_dir):
     return ln.crawl_edges_first(table(spark, sf_dir, "pages"), "page_id")
 
 
+def _stored_crawl(spark, sf_dir):
+    """The crawl graph, built once per session as a crawl would have left it."""
+    path = stored_once(
+        spark, sf_dir, "crawl_edges", lambda p: crawl_edges_all(spark, sf_dir).write.parquet(p)
+    )
+    return spark.read.parquet(path)
+
+
 def outgoing_lists(spark, sf_dir):
-    lists = ln.outgoing_lists(crawl_edges_all(spark, sf_dir))
+    lists = ln.outgoing_lists(_stored_crawl(spark, sf_dir))
     return lists.select("src", "part", "n_parts", F.array_join("targets", " ").alias("targets"))
 
 
@@ -131,7 +140,7 @@ def out_degree(spark, sf_dir):
 
 def frontier_next(spark, sf_dir):
     return ln.frontier_next(
-        crawl_edges_all(spark, sf_dir), table(spark, sf_dir, "pages"), site_robots(spark, sf_dir)
+        _stored_crawl(spark, sf_dir), table(spark, sf_dir, "pages"), site_robots(spark, sf_dir)
     )
 
 
@@ -142,8 +151,8 @@ def _wiki_seed(spark, sf_dir):
 def frontier_depth(spark, sf_dir):
     """Reading order over the wiki pages from the first one."""
     pages = wiki_pages(spark, sf_dir)
-    links = ln.page_links(pages.select("url", "html")).select(
-        "src", "pos", urls.canonical_link(F.col("href"), F.lit(WIKI_HOST)).alias("dst")
+    links = ln.page_links(
+        pages.select("url", "html"), resolve=lambda href: urls.canonical_link(href, WIKI_HOST)
     )
     edges = links.join(pages.select(F.col("url").alias("dst")), "dst", "left_semi")
     return ln.expand_frontier(edges, _wiki_seed(spark, sf_dir), Workspace(spark, "frontier"))
