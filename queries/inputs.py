@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.functions import urls
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shown(score: Column) -> Column:
+    """Six digits of a score that has nine; the shift keeps halves from being ties."""
+    return F.round(score + 2e-10, 6)
+
+
 def stored_once(
     spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None]
 ) -> str:
