@@ -16,7 +16,7 @@ STOP_WORDS = (
     "very s t can will just don should now"
 ).split()
 
-# Stop words of the text index (33), tokens of one character are dropped too.
+# Stop words of the text index (34); tokens of one character are dropped too.
 INDEX_STOP_WORDS = (
     "a an and are as at be by can for from have if in is it may not of on or "
     "tbd that the this to us we when will with yet you your"

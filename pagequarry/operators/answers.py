@@ -15,13 +15,17 @@ from pagequarry.functions.fixed import (
     PROMPT_TEMPLATE,
     REFUSAL_TEMPLATE,
 )
-from pagequarry.operators.nearest import nearest
+from pagequarry.operators.nearest import nearest_counted
 from pagequarry.operators.spread import spread_join
 
 # texts(item_id, text) -> (item_id, vector)
 Embedding = Callable[[DataFrame], DataFrame]
 
 
+# One hit in a hash table.
+HIT_BYTES = 256
+
+
 def chunk_id(source: str = "source", chunk_no: str = "chunk_no") -> Column:
     """One orderable id per chunk: source, then number."""
     return F.format_string("%s#%09d", F.col(source), F.col(chunk_no))
@@ -39,12 +43,13 @@ def nearest_chunks(
 ) -> DataFrame:
     """M4: ``questions(question_id, vector)`` to their k best chunks of
     ``store(chunk_id, source, page_content, vector)``."""
-    hits = nearest(
+    found, n_questions = nearest_counted(
         questions.select(F.col("question_id").alias("query_id"), "vector"),
         store.select(F.col("chunk_id").alias("item_id"), "vector"),
         k,
         "relevance",
-    ).select(
+    )
+    hits = found.select(
         F.col("query_id").alias("question_id"),
         F.col("item_id").alias("chunk_id"),
         "rank_no",
@@ -52,7 +57,10 @@ def nearest_chunks(
     )
     # the texts come last, and only for chunks that were hit
     return spread_join(
-        store.select("chunk_id", "source", "page_content"), hits, ["chunk_id"]
+        store.select("chunk_id", "source", "page_content"),
+        hits,
+        ["chunk_id"],
+        small_bytes=n_questions * k * HIT_BYTES,
     ).select("question_id", "rank_no", "chunk_id", "source", "page_content", "relevance")
 
 

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx
 from pagequarry.functions.fixed import RELATED_PER_WORD, STOP_WORDS
-from pagequarry.operators.nearest import nearest, normalized
+from pagequarry.operators.nearest import nearest_counted, normalized
 from pagequarry.operators.spread import spread_join
 
 
+# Two words in a hash table.
+WORD_PAIR_BYTES = 192
+
+
 def word_counts(corpus: DataFrame, min_count: int = 2) -> DataFrame:
     """``corpus(tokens)`` to the vocabulary (word, n)."""
     return (
@@ -61,23 +65,29 @@ def most_similar(
 ) -> DataFrame:
     """M6: for each of ``words(word)`` in the vocabulary (F8), the k other words
     with the greatest cosine, as (word, related, rank_no, score)."""
+    return _most_similar(words, vectors, k)[0]
+
+
+def _most_similar(words: DataFrame, vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
     wanted = words.select("word").distinct()
     known = spread_join(vectors, wanted, ["word"], "left_semi")
-    found = nearest(
+    found, n_words = nearest_counted(
         known.select(F.col("word").alias("query_id"), "vector"),
         vectors.select(F.col("word").alias("item_id"), "vector"),
         k + 1,  # the word itself is among them, unless others tie with it
         "cosine",
-    ).where(F.col("query_id") != F.col("item_id"))
+    )
     # at most k + 1 rows per word are left here
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "item_id"))
-    return (
-        found.withColumn("rank_no", place)
+    others = (
+        found.where(F.col("query_id") != F.col("item_id"))
+        .withColumn("rank_no", place)
         .where(F.col("rank_no") <= k)
         .select(
             F.col("query_id").alias("word"), F.col("item_id").alias("related"), "rank_no", "score"
         )
     )
+    return others, n_words
 
 
 def expand_queries(
@@ -96,9 +106,15 @@ def expand_queries(
     searched = tokens.select(
         "query_id", F.explode(F.array_distinct(tx.drop_stop_words(F.col("_all"), stop))).alias("word")
     )
-    neighbours = most_similar(searched, vectors, k).select("word", "related")
+    neighbours, n_words = _most_similar(searched, vectors, k)
     united = (
-        spread_join(searched, neighbours, ["word"], spread_on=["query_id"])
+        spread_join(
+            searched,
+            neighbours.select("word", "related"),
+            ["word"],
+            spread_on=["query_id"],
+            small_bytes=n_words * k * WORD_PAIR_BYTES,
+        )
         .groupBy("query_id")
         .agg(F.collect_set("related").alias("_related"))  # k per word of one query
     )

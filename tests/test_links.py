@@ -1,0 +1,169 @@
+"""Link extraction, graphs, robots and frontier."""
+
+from collections import deque
+from html.parser import HTMLParser
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from pagequarry.functions import urls
+from pagequarry.operators import links as ln
+
+
+class Hrefs(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        for name, value in attrs:
+            if name == "href":
+                self.found.append((tag, value or ""))
+                break
+
+
+def hrefs(page, anchors_only=False):
+    parser = Hrefs()
+    parser.feed(page)
+    parser.close()
+    return [value for tag, value in parser.found if tag == "a" or not anchors_only]
+
+
+def test_links_equal_a_html_parser_on_all_pages(spark):
+    path = "/root/testdata/sf0.01/pages.parquet"
+    rows = pq.read_table(path, columns=["url", "html"]).to_pylist()
+    found = ln.page_links(spark.read.parquet(path).select("url", "html")).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.src, r.pos)):
+        got.setdefault(r.src, []).append(r.href)
+    assert got == {r["url"]: hrefs(r["html"]) for r in rows if hrefs(r["html"])}
+
+
+CASES = [
+    '<a href="/x">1</a><link rel=s href=/y><area HREF = \'/z\'>',
+    '<a title="a > href=\'/no\'" data-href="/no" href="/yes?a=1&amp;b=2">',
+    '<a class=x\n href="/nl"\n>t</a><abbr href="/abbr">',
+    '<a href="">e</a><a>none</a><a hreflang="/no">',
+    '<!-- <a href="/no"> --><script>"<a href=\'/no\'>"</script><a href="/after">',
+    "<a href='it\"s'>q</a><a/href='/slash'>",
+]
+
+
+def test_link_cases(spark):
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(CASES)], "url string, html string")
+    for anchors_only in (False, True):
+        rows = ln.page_links(df, anchors_only).collect()
+        for i, case in enumerate(CASES):
+            got = [r.href for r in sorted(rows, key=lambda r: r.pos) if r.src == str(i)]
+            assert got == hrefs(case, anchors_only), case
+
+
+def pages_of(spark, graph, host="https://h.example"):
+    rows = [
+        (i, f"{host}/{name}", "".join(f'<a href="/{t}">x</a>' for t in targets))
+        for i, (name, targets) in enumerate(graph.items())
+    ]
+    return spark.createDataFrame(rows, "page_no long, url string, html string")
+
+
+def short(rows):
+    return sorted(tuple(str(v).rsplit("/", 1)[-1] for v in r) for r in rows)
+
+
+GRAPH = {"a": ["b", "c", "b", "a"], "b": ["d", "c"], "c": ["a", "e"], "d": []}
+
+
+def test_known_page_edges(spark):
+    edges = ln.known_page_edges(pages_of(spark, GRAPH))
+    assert short(edges.select("src", "dst", "weight").collect()) == [
+        ("a", "b", "2"), ("a", "c", "1"), ("b", "c", "1"), ("b", "d", "1"), ("c", "a", "1"),
+    ]
+
+
+def test_crawl_graphs(spark):
+    pages = pages_of(spark, GRAPH)
+    loops = [(n, n) for n in "abcde"]
+    every = ln.crawl_edges_all(pages.select("url", "html"))
+    assert short(every.collect()) == sorted(
+        [("a", "b"), ("a", "c"), ("b", "d"), ("b", "c"), ("c", "a"), ("c", "e")] + loops
+    )
+    first = ln.crawl_edges_first(pages, "page_no")
+    assert short(first.collect()) == sorted([("a", "b"), ("a", "c"), ("b", "d"), ("c", "e")] + loops)
+
+
+def test_wide_pages_give_several_lists(spark):
+    edges = spark.createDataFrame(
+        [("hub", f"t{i:04d}") for i in range(1000)] + [("leaf", "t1"), ("leaf", "t0")], "src string, dst string"
+    )
+    lists = ln.outgoing_lists(edges, part_size=100)
+    rows = lists.collect()
+    hub = [r for r in rows if r.src == "hub"]
+    assert len(hub) == 10 and {r.n_parts for r in hub} == {10}
+    assert all(r.targets == sorted(r.targets) and len(r.targets) < 200 for r in hub)
+    assert [r.targets for r in rows if r.src == "leaf"] == [["t0", "t1"]]
+    back = ln.edges_from_lists(lists)
+    assert sorted(back.collect()) == sorted(edges.collect())
+
+
+def test_robots_join(spark):
+    robots = spark.createDataFrame(
+        [("https://h.example", "Disallow: /b*\nDisallow:"), ("https://g.example", "Disallow: /")],
+        "root string, body string",
+    )
+    urls_df = spark.createDataFrame(
+        [(u,) for u in ("https://h.example/a", "https://h.example/bc", "https://g.example/a", "https://f.example/b")],
+        "url string",
+    )
+    got = sorted(r.url for r in ln.allowed_urls(urls_df, robots).collect())
+    assert got == ["https://f.example/b", "https://h.example/a"]
+
+
+def model_order(graph, seed, budget=None):
+    seen, queue, order = {seed: 0}, deque([seed]), []
+    while queue and (budget is None or len(order) < budget):
+        page = queue.popleft()
+        order.append((page, seen[page]))
+        for target in graph.get(page, []):
+            if target not in seen:
+                seen[target] = seen[page] + 1
+                queue.append(target)
+    return order
+
+
+def test_frontier_is_breadth_first(spark, ws):
+    graph = {f"n{i}": [f"n{(i * 7 + j) % 60}" for j in (5, 1, 3)] for i in range(60)}
+    rows = [(s, t, pos) for s, targets in graph.items() for pos, t in enumerate(targets)]
+    edges = spark.createDataFrame(rows, "src string, dst string, pos int")
+    seed = spark.createDataFrame([("n0",)], "url string")
+    got = [(r.url, r.depth) for r in sorted(ln.expand_frontier(edges, seed, ws).collect(), key=lambda r: r.idx)]
+    assert got == model_order(graph, "n0")
+
+
+def test_frontier_budget(spark, ws):
+    graph = {"a": ["c", "b"], "b": ["d"], "c": ["e", "f"], "e": ["g"]}
+    rows = [(s, t, pos) for s, targets in graph.items() for pos, t in enumerate(targets)]
+    edges = spark.createDataFrame(rows, "src string, dst string, pos int")
+    seed = spark.createDataFrame([("a",)], "url string")
+    got = ln.expand_frontier(edges, seed, ws, budget=4).collect()
+    assert [(r.url, r.depth) for r in sorted(got, key=lambda r: r.idx)] == model_order(graph, "a", 4)
+
+
+def test_next_frontier_and_indexes(spark):
+    pages = pages_of(spark, GRAPH)
+    edges = ln.crawl_edges_all(pages.select("url", "html"))
+    assert short(ln.frontier_next(edges, pages).collect()) == [("e",)]
+    index = spark.createDataFrame([("x", 0), ("y", 1)], "url string, idx long")
+    some = spark.createDataFrame([("x", "y", 3), ("y", "x", 1)], "src string, dst string, weight long")
+    assert sorted(map(tuple, ln.indexed_edges(some, index).collect())) == [(0, 1, 3), (1, 0, 1)]
+    matrix = spark.createDataFrame([(0, [0, 2, 0]), (1, [1, 0, 1])], "idx int, cells array<int>")
+    assert sorted(map(tuple, ln.matrix_edges(matrix).collect())) == [(0, 1, 2), (1, 0, 1), (1, 2, 1)]
+
+
+def test_host_of_each_page_or_one_root(spark):
+    pages = spark.createDataFrame(
+        [("https://h.example/a", '<a href="https://g.example/b">x</a>'), ("https://g.example/b", "")],
+        "url string, html string",
+    )
+    assert ln.known_page_edges(pages).count() == 0
+    assert ln.known_page_edges(pages, "g.example").count() == 1
+    assert [r[0] for r in pages.select(urls.netloc(F.col("url"))).collect()] == ["h.example", "g.example"]
