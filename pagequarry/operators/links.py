@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx, urls
 from pagequarry.functions.fixed import RESOURCE_MARKS, VOLATILE_PARAMETERS
-from pagequarry.operators.spread import dense_ids, measure, row_bytes, spread_join
+from pagequarry.operators.spread import (
+    measure,
+    number_sorted,
+    row_bytes,
+    spread_join,
+    with_place,
+)
 from pagequarry.session import Workspace
 
 # A start tag; quoted attribute values may hold '>'.
@@ -246,8 +252,9 @@ def expand_frontier(
 
     ``edges(src, dst[, pos])``; ``idx`` is the place in reading order: by the
     page that found it first, then by position there, then by URL. With a
-    ``budget`` only the first so many URLs are kept. Each level is stored, so
-    the plan does not grow with depth.
+    ``budget`` only the first so many URLs are kept. Each level is sorted and
+    stored, so the plan does not grow with depth; the numbers are given at the
+    end.
     """
     spark = edges.sparkSession
     if "pos" not in edges.columns:
@@ -258,26 +265,22 @@ def expand_frontier(
     done, depth = 0, 0
     level = seeds.select("url").distinct().withColumn("_place", F.col("url"))
     while True:
-        numbered = dense_ids(level, ["_place", "url"], ws).select(
-            "url", (F.col("idx") + done).alias("idx")
+        level = ws.save(
+            with_place(level.orderBy("_place", "url")).select("url", "_mid"),
+            f"reached/depth={depth}",
         )
-        if budget is not None:
-            numbered = numbered.where(F.col("idx") < budget)
-        numbered.write.mode("overwrite").parquet(ws.path(f"reached/depth={depth}"))
-        # sorted_idx is rewritten by the next level, the stored level is not
-        current = spark.read.schema(numbered.schema).parquet(ws.path(f"reached/depth={depth}"))
-        size, size_bytes = current.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(current)), F.lit(0))
-        ).first()
-        done += size
-        reached = spark.read.schema("url string, idx long, depth int").parquet(ws.path("reached"))
-        if size == 0 or (budget is not None and done >= budget):
-            return reached
-        parents = current.select(F.col("url").alias("src"), F.col("idx").alias("_parent"))
-        found = spread_join(edges, parents, ["src"], spread_on=["dst"], small_bytes=size_bytes)
+        n, size = level.agg(F.count(F.lit(1)), F.sum(row_bytes(level))).first()
+        done += n
+        reached = spark.read.schema("url string, _mid long, depth int").parquet(ws.path("reached"))
+        if n == 0 or (budget is not None and done >= budget):
+            break
+        parents = level.select(F.col("url").alias("src"), F.col("_mid").alias("_parent"))
+        found = spread_join(edges, parents, ["src"], spread_on=["dst"], small_bytes=size)
         level = (
             found.groupBy(F.col("dst").alias("url"))
             .agg(F.min(F.struct("_parent", "pos")).alias("_place"))
             .join(reached.select("url"), "url", "left_anti")
         )
         depth += 1
+    numbered = number_sorted(reached, "idx", "depth").select("url", "idx", "depth")
+    return numbered if budget is None else numbered.where(F.col("idx") < budget)

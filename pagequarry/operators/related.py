@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions import text as tx
 from pagequarry.functions.fixed import RELATED_PER_WORD, STOP_WORDS
 from pagequarry.operators.nearest import nearest_counted, normalized
-from pagequarry.operators.spread import spread_join
+from pagequarry.operators.spread import BROADCAST_BYTES, measure, spread_join
 
 
 # Two words in a hash table.
@@ -135,16 +138,56 @@ def embed_with_model(texts: DataFrame, model: Word2VecModel) -> DataFrame:
     return model.transform(tokens).select("item_id", normalized(mean).alias("vector"))
 
 
-def embed_with_vectors(texts: DataFrame, vectors: DataFrame) -> DataFrame:
-    """M7 over a vector table (word, vector); texts without a known word give no row."""
-    counted = (
-        texts.select("item_id", F.explode(tx.plain_words(F.col("text"))).alias("word"))
-        .groupBy("item_id", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    known = vectors.select("word", "vector")
-    joined = spread_join(counted, known, ["word"], spread_on=["item_id"])
-    mean = Summarizer.mean(array_to_vector("vector"), F.col("n").cast("double"))
-    return joined.groupBy("item_id").agg(mean.alias("_mean")).select(
-        "item_id", normalized(vector_to_array("_mean")).alias("vector")
+def embed_with_vectors(
+    texts: DataFrame, vectors: DataFrame, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """M7 over a vector table (word, vector): mean word vector, length 1.
+
+    Texts without a known word give no row. If the measured vector table fits
+    in a broadcast, each text is looked up where it is, without a shuffle;
+    beyond that, words are counted per text and joined with the table.
+    """
+    vectors = vectors.select("word", F.col("vector").cast("array<double>").alias("vector"))
+    words = texts.select("item_id", tx.plain_words(F.col("text")).alias("_words"))
+    if measure(vectors) <= limit:
+        mean = _mean_by_broadcast(words, vectors)
+    else:
+        counted = (
+            words.select("item_id", F.explode("_words").alias("word"))
+            .groupBy("item_id", "word")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        joined = spread_join(
+            counted, vectors, ["word"], spread_on=["item_id"], small_bytes=limit + 1, limit=limit
+        )
+        weighted = Summarizer.mean(array_to_vector("vector"), F.col("n").cast("double"))
+        mean = joined.groupBy("item_id").agg(weighted.alias("_mean")).select(
+            "item_id", vector_to_array("_mean").alias("_mean")
+        )
+    return mean.select("item_id", normalized(F.col("_mean")).alias("vector"))
+
+
+def _mean_by_broadcast(words: DataFrame, vectors: DataFrame) -> DataFrame:
+    rows = vectors.collect()  # measured: at most the broadcast limit
+    shared = words.sparkSession.sparkContext.broadcast(
+        ([row["word"] for row in rows], [row["vector"] for row in rows])
     )
+
+    def means(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        import pandas as pd
+
+        known, table = shared.value
+        place = {word: i for i, word in enumerate(known)}
+        table = np.array(table, dtype=np.float64)
+        for batch in batches:
+            ids, found = [], []
+            for item_id, tokens in zip(batch["item_id"], batch["_words"]):
+                at = [place[token] for token in tokens if token in place]
+                if at:
+                    ids.append(item_id)
+                    found.append(table[at].mean(axis=0))
+            yield pd.DataFrame({"item_id": pd.Series(ids, dtype=batch["item_id"].dtype), "_mean": found})
+
+    id_type = words.schema["item_id"].dataType.simpleString()
+    return words.mapInPandas(means, f"item_id {id_type}, _mean array<double>")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions import scoring, text as tx
 from pagequarry.functions.fixed import HITS_PER_PAGE, HITS_PER_QUERY
 from pagequarry.operators.index import Index, bucket_of
+from pagequarry.operators import spread
 from pagequarry.operators.spread import row_bytes, shard_of, spread_join, top_k
 
 
@@ -79,6 +80,18 @@ def _weighted_terms(terms: DataFrame, index: Index, size: BatchSize) -> DataFram
     )
 
 
+def shard_count(df: DataFrame) -> int:
+    """One shard of the documents for each shuffle partition."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _by_shard(df: DataFrame, shards: int) -> DataFrame:
+    """Deal rows out by document; rows of a shard form one partition."""
+    return df.withColumn("_shard", shard_of(["doc_id"], shards)).repartitionById(
+        shards, F.col("_shard")
+    )
+
+
 def match(
     queries: DataFrame,
     index: Index,
@@ -97,39 +110,45 @@ def match(
     terms = query_terms(queries)
     size = size or BatchSize.of(terms)
     weighted = _weighted_terms(terms, index, size)
+    shards = shard_count(index.postings)
     # the bucket is the partition column of stored postings: others are not read
     postings = index.postings.where(F.col("bucket").isin(size.buckets))
-    hits = spread_join(
-        postings,
-        weighted,
-        ["bucket", "term"],
-        spread_on=["doc_id"],
-        small_bytes=size.term_bytes,
-    )
+    small = size.term_bytes <= spread.BROADCAST_BYTES
+    if small:
+        # Postings of wanted terms are dealt out by document first. All terms of
+        # a document then meet in one place, and what the queries make of them
+        # is summed and cut down there, without another shuffle.
+        wanted = F.broadcast(terms.select("bucket", "term").distinct())
+        hits = _by_shard(postings.join(wanted, ["bucket", "term"], "left_semi"), shards)
+    else:
+        hits = spread_join(
+            postings,
+            weighted,
+            ["bucket", "term"],
+            spread_on=["doc_id"],
+            small_bytes=size.term_bytes,
+        )
+        hits = _by_shard(hits, shards)
     if ranks is None:
         hits = hits.withColumn("rank", F.lit(0.0))
     else:
-        # a document occurs at most once per query term here, so no key is hot
-        hits = hits.join(ranks, "doc_id", "left").withColumn(
+        ranked = _by_shard(ranks.select("doc_id", "rank"), shards)
+        hits = hits.join(ranked, ["_shard", "doc_id"], "left").withColumn(
             "rank", F.coalesce("rank", F.lit(0.0))
         )
+    if small:
+        hits = hits.join(F.broadcast(weighted), ["bucket", "term"])
     relevance = scoring.bm25(F.col("idf"), F.col("tf"), F.col("doc_len"), F.col("avg_len"))
     best, rank = F.col("max_bm25"), F.col("rank")
     if rank_once:
         hits = hits.withColumn("term_score", scorer(relevance, best, F.lit(0.0)))
     else:
         hits = hits.withColumn("term_score", scorer(relevance, best, rank))
-    # one shuffle serves the sum per document and the first cut of the top-k
-    grouped = (
-        hits.withColumn("_shard", shard_of(["doc_id"]))
-        .repartition("query_id", "_shard")
-        .groupBy("query_id", "_shard", "doc_id")
-        .agg(
-            F.sum("term_score").alias("score"),
-            F.max("rank").alias("rank"),
-            F.count(F.lit(1)).alias("n_matched"),
-            F.max("n_terms").alias("n_terms"),
-        )
+    grouped = hits.groupBy("query_id", "_shard", "doc_id").agg(
+        F.sum("term_score").alias("score"),
+        F.max("rank").alias("rank"),
+        F.count(F.lit(1)).alias("n_matched"),
+        F.max("n_terms").alias("n_terms"),
     )
     if mode == "all":
         grouped = grouped.where(F.col("n_matched") == F.col("n_terms"))

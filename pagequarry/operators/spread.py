@@ -133,20 +133,27 @@ def dense_ids(
     partition plus the sizes of the partitions before it. Only the sizes, one
     per partition, are summed in one task.
     """
-    rank_bits = 33  # monotonically_increasing_id keeps the row's place in the low bits
-    stored = ws.save(
-        df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()),
-        f"sorted_{id_col}",
-    )
-    part = F.shiftright("_mid", rank_bits)
-    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
+    return number_sorted(ws.save(with_place(df.orderBy(*order)), f"sorted_{id_col}"), id_col)
+
+
+PLACE_BITS = 33  # monotonically_increasing_id keeps a row's place in its partition in the low bits
+
+
+def with_place(df: DataFrame) -> DataFrame:
+    """Add the partition and the place in it; they mean nothing until the rows are stored."""
+    return df.withColumn("_mid", F.monotonically_increasing_id())
+
+
+def number_sorted(stored: DataFrame, id_col: str, *runs: str) -> DataFrame:
+    """Number stored rows by ``runs``, then by the place they were stored with."""
+    part = F.shiftright("_mid", PLACE_BITS)
+    keys = [*runs, "_part"]
+    sizes = stored.groupBy(*runs, part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     return (
         stored.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(id_col, F.col("_offset") + F.col("_mid").bitwiseAND((1 << rank_bits) - 1))
+        .join(F.broadcast(offsets), keys)  # one row per stored partition
+        .withColumn(id_col, F.col("_offset") + F.col("_mid").bitwiseAND((1 << PLACE_BITS) - 1))
         .drop("_part", "_mid", "_offset")
     )

@@ -11,6 +11,17 @@ from pagequarry.operators.pagerank import pagerank
 from pagequarry.session import Workspace, read_if_present
 
 
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table for work on single rows.
+
+    A table that comes in fewer pieces than there are cores is dealt out over
+    them; a larger one is left as it is, without a shuffle.
+    """
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Write a table, replacing what was there, and read it back."""
     df.write.mode("overwrite").parquet(path)

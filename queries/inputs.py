@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from pagequarry.functions import urls
 from pagequarry.operators import index as ix
 from pagequarry.session import Workspace
+from pagequarry.sources.tables import read_rows
 
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
+# Tables with long texts, where the work is in the rows.
+TEXTS = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_rows(spark, path) if name in TEXTS else spark.read.parquet(path)
 
 
 def shown(score: Column) -> Column:

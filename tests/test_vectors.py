@@ -177,9 +177,10 @@ def test_training_and_storing(spark, ws):
     assert np.linalg.norm(by_id[1]) == pytest.approx(1) and by_id[2] == [0.0] * 6
 
 
-def test_embedding_by_table(spark, word_table):
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_embedding_by_table(spark, word_table, limit):
     df = spark.createDataFrame([(1, "King king stone."), (2, "nothing")], "item_id int, text string")
-    rows = rl.embed_with_vectors(df, word_table).collect()
+    rows = rl.embed_with_vectors(df, word_table, limit).collect()
     mean = np.array([2, 1.2]) / 3
     assert [r.item_id for r in rows] == [1]
     assert rows[0].vector == pytest.approx(list(mean / np.linalg.norm(mean)))
