@@ -61,7 +61,7 @@ def greatest_rank(ranks: DataFrame) -> DataFrame:
 
 
 def _weighted_terms(terms: DataFrame, index: Index, size: BatchSize) -> DataFrame:
-    """Query terms with idf and the greatest BM25 a document can reach (M3)."""
+    """Wanted terms with idf and the greatest BM25 a document can reach (M3)."""
     wanted = terms.select("term").distinct()
     found = spread_join(index.terms, wanted, ["term"], "left_semi", small_bytes=size.term_bytes)
     n_docs = index.stats.select("n_docs").scalar()
@@ -74,10 +74,7 @@ def _weighted_terms(terms: DataFrame, index: Index, size: BatchSize) -> DataFram
         avg_len.alias("avg_len"),
     )
     best = scoring.bm25(F.col("idf"), F.col("max_tf"), F.col("min_len"), F.col("avg_len"))
-    weighted = weighted.select("term", "idf", "avg_len", best.alias("max_bm25"))
-    return spread_join(
-        terms.drop("pos"), weighted, ["term"], spread_on=["query_id"], small_bytes=size.term_bytes
-    )
+    return weighted.select(bucket_of().alias("bucket"), "term", "idf", "avg_len", best.alias("max_bm25"))
 
 
 def shard_count(df: DataFrame) -> int:
@@ -109,47 +106,45 @@ def match(
     """
     terms = query_terms(queries)
     size = size or BatchSize.of(terms)
-    weighted = _weighted_terms(terms, index, size)
     shards = shard_count(index.postings)
     # the bucket is the partition column of stored postings: others are not read
-    postings = index.postings.where(F.col("bucket").isin(size.buckets))
-    small = size.term_bytes <= spread.BROADCAST_BYTES
-    if small:
-        # Postings of wanted terms are dealt out by document first. All terms of
-        # a document then meet in one place, and what the queries make of them
-        # is summed and cut down there, without another shuffle.
-        wanted = F.broadcast(terms.select("bucket", "term").distinct())
-        hits = _by_shard(postings.join(wanted, ["bucket", "term"], "left_semi"), shards)
-    else:
-        hits = spread_join(
-            postings,
-            weighted,
-            ["bucket", "term"],
-            spread_on=["doc_id"],
-            small_bytes=size.term_bytes,
-        )
-        hits = _by_shard(hits, shards)
+    postings = spread_join(
+        index.postings.where(F.col("bucket").isin(size.buckets)),
+        _weighted_terms(terms, index, size),
+        ["bucket", "term"],
+        spread_on=["doc_id"],
+        small_bytes=size.term_bytes,
+    )
+    # Postings of wanted terms are dealt out by document, once. All terms of a
+    # document then meet in one place, where they are scored, summed per query
+    # and cut down without another shuffle.
+    postings = _by_shard(postings, shards)
     if ranks is None:
-        hits = hits.withColumn("rank", F.lit(0.0))
+        postings = postings.withColumn("rank", F.lit(0.0))
     else:
         ranked = _by_shard(ranks.select("doc_id", "rank"), shards)
-        hits = hits.join(ranked, ["_shard", "doc_id"], "left").withColumn(
+        postings = postings.join(ranked, ["_shard", "doc_id"], "left").withColumn(
             "rank", F.coalesce("rank", F.lit(0.0))
         )
-    if small:
-        hits = hits.join(F.broadcast(weighted), ["bucket", "term"])
     relevance = scoring.bm25(F.col("idf"), F.col("tf"), F.col("doc_len"), F.col("avg_len"))
     best, rank = F.col("max_bm25"), F.col("rank")
-    if rank_once:
-        hits = hits.withColumn("term_score", scorer(relevance, best, F.lit(0.0)))
+    score = scorer(relevance, best, F.lit(0.0) if rank_once else rank)
+    scored = postings.select("term", "doc_id", "_shard", "rank", score.alias("term_score"))
+    sums = [F.sum("term_score").alias("score"), F.first("rank").alias("rank")]
+    asked = terms.select("term", "query_id")
+    if mode == "all":
+        asked = terms.select("term", "query_id", "n_terms")
+        sums += [F.count(F.lit(1)).alias("n_matched"), F.first("n_terms").alias("n_terms")]
+    if size.term_bytes <= spread.BROADCAST_BYTES:
+        hits = scored.join(F.broadcast(asked), "term")
     else:
-        hits = hits.withColumn("term_score", scorer(relevance, best, rank))
-    grouped = hits.groupBy("query_id", "_shard", "doc_id").agg(
-        F.sum("term_score").alias("score"),
-        F.max("rank").alias("rank"),
-        F.count(F.lit(1)).alias("n_matched"),
-        F.max("n_terms").alias("n_terms"),
-    )
+        hits = _by_shard(
+            spread_join(
+                scored, asked, ["term"], spread_on=["doc_id"], small_bytes=size.term_bytes
+            ),
+            shards,
+        )
+    grouped = hits.groupBy("query_id", "_shard", "doc_id").agg(*sums)
     if mode == "all":
         grouped = grouped.where(F.col("n_matched") == F.col("n_terms"))
     if rank_once:
