@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx
@@ -37,16 +37,14 @@ def bucket_of(term: str = "term", buckets: int = BUCKETS):
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _with_terms(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_terms", tx.index_terms(F.col("content"))).withColumn(
-        "doc_len", F.size("_terms")
-    )
-
-
 def stored_documents(docs: DataFrame) -> DataFrame:
     """the stored part of each document, snippet included."""
-    return _with_terms(docs).select(
-        "doc_id", "url", "content", tx.snippet(F.col("content")).alias("snippet"), "doc_len"
+    return docs.select(
+        "doc_id",
+        "url",
+        "content",
+        tx.snippet(F.col("content")).alias("snippet"),
+        F.size(tx.index_terms(F.col("content"))).alias("doc_len"),
     )
 
 
@@ -56,9 +54,15 @@ def make_postings(docs: DataFrame) -> DataFrame:
     A document's terms are counted before the shuffle, since they lie in one
     row; the shuffle key is the pair, so a term in every document spreads.
     """
+    def with_length(terms: Column) -> Column:
+        length = F.size(terms).alias("doc_len")
+        return F.transform(terms, lambda term: F.struct(term.alias("term"), length))
+
+    # an expression, not a column: Spark would filter a column of arrays by its
+    # size first, and work it out once more for that
+    terms = tx.bind(tx.index_terms(F.col("content")), with_length)
     return (
-        _with_terms(docs)
-        .select("doc_id", "doc_len", F.explode("_terms").alias("term"))
+        docs.select("doc_id", F.inline(terms))
         .groupBy("term", "doc_id", "doc_len")
         .agg(F.count(F.lit(1)).alias("tf"))
         .select(bucket_of().alias("bucket"), "term", "doc_id", "tf", "doc_len")

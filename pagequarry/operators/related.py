@@ -24,9 +24,10 @@ WORD_PAIR_BYTES = 192
 def word_counts(corpus: DataFrame, min_count: int = 2) -> DataFrame:
     """``corpus(tokens)`` to the vocabulary (word, n)."""
     return (
-        corpus.select(F.explode("tokens").alias("word"))
+        # "outer", or Spark works the tokens out twice to drop empty arrays first
+        corpus.select(F.explode_outer("tokens").alias("word"))
         .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("word").alias("n"))
         .where(F.col("n") >= min_count)
     )
 
@@ -153,7 +154,7 @@ def embed_with_vectors(
         mean = _mean_by_broadcast(words, vectors)
     else:
         counted = (
-            words.select("item_id", F.explode("_words").alias("word"))
+            words.select("item_id", F.explode_outer("_words").alias("word"))
             .groupBy("item_id", "word")
             .agg(F.count(F.lit(1)).alias("n"))
         )
