@@ -154,14 +154,14 @@ def index_append(spark, sf_dir):
 
 
 def stream_index(spark, sf_dir):
-    """The documents as a stream of files, one per language and batch."""
+    """The documents as a stream of files, a few at a time."""
     ws = Workspace(spark, "stream")
     langs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     arriving = documents(spark, sf_dir).join(langs, "doc_id")
     arriving.write.partitionBy("lang").parquet(ws.path("arriving"))
     stream = (
         spark.readStream.schema("doc_id long, url string, content string")
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", 16)
         .option("recursiveFileLookup", True)
         .parquet(ws.path("arriving"))
     )
