@@ -188,7 +188,8 @@ def _mean_by_broadcast(words: DataFrame, vectors: DataFrame) -> DataFrame:
                 if at:
                     ids.append(item_id)
                     found.append(table[at].mean(axis=0))
-            yield pd.DataFrame({"item_id": pd.Series(ids, dtype=batch["item_id"].dtype), "_mean": found})
+            if ids:
+                yield pd.DataFrame({"item_id": ids, "_mean": found})
 
     id_type = words.schema["item_id"].dataType.simpleString()
     return words.mapInPandas(means, f"item_id {id_type}, _mean array<double>")
