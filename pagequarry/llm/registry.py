@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
-from pagequarry.llm import secrets, warc
+from pagequarry.llm import languages, packing, secrets, warc
 from pagequarry.session import Workspace
 
 
@@ -19,6 +19,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def remainder(modulus: int):
+    """crc32 of the id as decimal text, modulo ``modulus``; a null id counts as no text."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.pmod(F.crc32(F.encode(name, "UTF-8")), F.lit(modulus))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the two thirds that are not held out."""
+    docs = documents(spark, sf_dir).withColumn("held_out", remainder(3) == 1)
+    model = languages.learn(docs.where("NOT held_out").select("text", "lang"))
+    found = languages.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("lang_shares").alias("n_langs"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of every document; kinds assign, access, hex are the base, markov is added."""
     spans = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
@@ -83,6 +97,16 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte-level BPE ids in sequences of 2048 tokens."""
+    import public_tokenizers
+
+    ws = Workspace(spark, "packing")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.tokenize(documents(spark, sf_dir), path, keep_ids=False)
+    return packing.pack(pieces, ws)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as whole-file gzip, normalised to members, and read back by index."""
     ws = Workspace(spark, "warc")
@@ -97,8 +121,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op6_fingerprint": op6_fingerprint,
+    "op7_packing": op7_packing,
     "op9_warc": op9_warc,
 }
 ORACLES: dict[str, str] = {
