@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from pagequarry.llm.ranges import id_bounds
 from pagequarry.llm.words import find_words, mix, window_hashes
 
 EXACT, NEAR = 128, 256
@@ -110,9 +111,7 @@ def map_neighbours(
     spark = docs.sparkSession
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = docs.select("doc_id").repartitionByRange(wanted, "doc_id")
-    least = ranges.groupBy(F.spark_partition_id()).agg(F.min(F.coalesce("doc_id", F.lit(int(_LEAST)))).alias("b"))
-    bounds = np.array(sorted({row["b"] for row in least.select("b").collect()}), np.int64)
+    bounds = id_bounds(docs, wanted, int(_LEAST))
     if not len(bounds):
         return spark.createDataFrame([], schema)
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagequarry.llm.tokens import encode_texts
 from pagequarry.llm.words import binary_column, slices, text_bytes
@@ -134,7 +135,7 @@ def pack(
 
 
 def _packed(left: DataFrame, rest: list[str], groups: int, number: int, last: bool, capacity: int) -> DataFrame:
-    schema = left.schema.add("sequence_id", "long").add("offset", "long").add("_kept", "boolean")
+    schema = T.StructType([*left.schema.fields]).add("sequence_id", "long").add("offset", "long").add("_kept", "boolean")
 
     def place(key: tuple, group: pa.Table) -> pa.Table:
         lengths = group.column("length").to_numpy().astype(np.int64)

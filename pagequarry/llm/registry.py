@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
-from pagequarry.llm import languages, packing, secrets, warc
+from pagequarry.llm import languages, packing, repeats, secrets, warc
 from pagequarry.session import Workspace
 
 
@@ -57,6 +57,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without windows of 13 that an earlier document has."""
+    found = repeats.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), Workspace(spark, "repeats"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def _edit_report(ids: list, texts: list[str], nexts: list[str]) -> dict[str, list]:
     own = fp.fingerprints(texts)
     # a row's next is nearly always the row after it, worked out already
@@ -123,11 +129,28 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_packing": op7_packing,
     "op9_warc": op9_warc,
 }
 ORACLES: dict[str, str] = {
+    "op5_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                lambda x: x <> '') AS w FROM documents),
+        win AS (
+            SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)),
+        least AS (SELECT s, min(doc_id) AS first_id FROM win GROUP BY s HAVING count(*) > 1),
+        hit AS (SELECT doc_id, p FROM win JOIN least USING (s) WHERE first_id < doc_id),
+        gone AS (SELECT DISTINCT doc_id, p + unnest(range(0, 13)) AS p FROM hit),
+        per_doc AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+        kept AS (
+            SELECT doc_id, w, coalesce(ps, []) AS ps FROM d LEFT JOIN per_doc USING (doc_id))
+        SELECT doc_id, len(w) AS n_words, len(ps) AS n_removed,
+            sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(ps, i)), ' ')) AS kept_sha256
+        FROM kept""",
     "op9_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
