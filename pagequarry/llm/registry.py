@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
-from pagequarry.llm import languages, packing, repeats, secrets, warc
+from pagequarry.llm import languages, minhash, packing, repeats, secrets, warc
 from pagequarry.session import Workspace
 
 
@@ -19,6 +19,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(documents(spark, sf_dir), Workspace(spark, "minhash"))
+
+
 def remainder(modulus: int):
     """crc32 of the id as decimal text, modulo ``modulus``; a null id counts as no text."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -127,6 +132,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_language_id": op2_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
