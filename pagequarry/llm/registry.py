@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
-from pagequarry.llm import languages, minhash, packing, repeats, secrets, warc
+from pagequarry.llm import caps, languages, minhash, packing, repeats, secrets, warc
 from pagequarry.session import Workspace
 
 
@@ -131,6 +131,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, by label."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return caps.near_vectors(vectors, Workspace(spark, "caps"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_language_id": op2_language_id,
@@ -139,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprint": op6_fingerprint,
     "op7_packing": op7_packing,
     "op9_warc": op9_warc,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 ORACLES: dict[str, str] = {
     "op5_substring_dedup": r"""
