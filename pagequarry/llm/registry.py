@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
-from pagequarry.llm import caps, languages, minhash, packing, repeats, secrets, warc
+from pagequarry.llm import caps, languages, lm, minhash, packing, repeats, secrets, warc
 from pagequarry.session import Workspace
 
 
@@ -38,6 +38,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("lang_shares").alias("n_langs"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a model of the six sevenths that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", (remainder(7) == 2).alias("held_out"))
+    docs = docs.withColumn("train", ~F.col("held_out"))
+    return lm.score(docs, lm.fit(docs, Workspace(spark, "lm"))).drop("text", "train")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of every document; kinds assign, access, hex are the base, markov is added."""
     spans = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
@@ -140,6 +147,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_language_id": op2_language_id,
+    "op3_lm_score": op3_lm_score,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprint": op6_fingerprint,
