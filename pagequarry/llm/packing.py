@@ -32,6 +32,7 @@ from pagequarry.session import Workspace
 CAPACITY = 2048
 END = 0
 GROUP_ROWS = 100_000
+TOKENIZED_BYTES = 8 << 20  # of text at once: chunks repeat
 
 
 def tokenize(
@@ -45,7 +46,7 @@ def tokenize(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOKENIZED_BYTES):
                 plain, counts = encode_texts(*text_bytes(part.column("text")), path)
                 n = counts + 1
                 ids = np.full(int(n.sum()), end, "<u4")

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
-from pagequarry.llm import caps, languages, lm, minhash, packing, repeats, secrets, warc
+from pagequarry.llm import caps, languages, lm, minhash, packing, pieces, repeats, secrets, warc
+from pagequarry.llm.words import slices, text_bytes
 from pagequarry.session import Workspace
 
 
@@ -125,6 +128,45 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, ws)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document segmented with merge-dropout and without, and decoded again.
+
+    ``lossless``: the dropped segmentation decodes to the text, byte for byte.
+    """
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    schema = "doc_id long, n_bytes long, n_pieces long, n_plain long, ids_crc32 long, plain_crc32 long, lossless boolean"
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", pieces.ENCODED_BYTES):
+                data, offsets = text_bytes(part.column("text"))
+                docs = pieces.names_of(part.column("doc_id"))
+                ids, counts = pieces.encode_texts(data, offsets, docs, path)
+                plain, plain_counts = pieces.encode_texts(data, offsets, docs, path, alpha=0.0)
+                back, ends = pieces.decode_ids(ids, counts, path)
+                rows = range(part.num_rows)
+
+                def crc(values: np.ndarray, lengths: np.ndarray) -> list[int]:
+                    at = np.r_[0, np.cumsum(lengths)]
+                    raw = values.astype("<u4")
+                    return [zlib.crc32(raw[at[k] : at[k + 1]].tobytes()) for k in rows]
+
+                same = [
+                    bool(np.array_equal(back[ends[k] : ends[k + 1]], data[offsets[k] : offsets[k + 1]]))
+                    for k in rows
+                ]
+                columns = [np.diff(offsets), counts, plain_counts, crc(ids, counts), crc(plain, plain_counts)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns), pa.array(same)],
+                    names=names,
+                )
+
+    return documents(spark, sf_dir).select("doc_id", "text").mapInArrow(report, schema)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as whole-file gzip, normalised to members, and read back by index."""
     ws = Workspace(spark, "warc")
@@ -152,6 +194,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_packing": op7_packing,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_warc": op9_warc,
     "op10_embedding_dedup": op10_embedding_dedup,
 }

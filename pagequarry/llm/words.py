@@ -12,7 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20  # texts are worked on in pieces of about this size
+SLICE_BYTES = 2 << 20  # texts are worked on in pieces of about this size
+PIECE_BYTES = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -101,19 +102,27 @@ def span_hashes(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False
 ) -> np.ndarray:
     """A 64-bit hash of each span of bytes; no span may be empty, none may overlap."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    out = np.zeros(len(starts), np.uint64)
+    done = np.cumsum(ends - starts)
+    first = 0
+    while first < len(starts):  # in pieces, for the sake of memory
+        least = done[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(done, least + PIECE_BYTES, "right")))
+        out[first:last] = _span_hashes(data, starts[first:last], ends[first:last], lower)
+        first = last
+    return out
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
     lengths = ends - starts
     total = int(lengths.sum())
     before = np.cumsum(lengths) - lengths
     place = np.arange(total) - np.repeat(before, lengths)
-    at = place + np.repeat(starts, lengths)
-    value = data[at]
+    value = data[place + np.repeat(starts, lengths)]
     if lower:
         value = _LOWER[value]
-    # beyond the table, places repeat with another weight for each round
     weight = _PLACE[place & 4095]
-    if total and place.max() > 4095:
+    if total and place.max() > 4095:  # beyond the table, places repeat with other weights
         weight = weight + (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C16)
     sums = np.add.reduceat(_BYTE[value] * weight, before)
     return mix(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
