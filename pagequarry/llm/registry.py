@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
+import corpus_pipeline
 from pagequarry.llm import caps, languages, lm, minhash, packing, pieces, repeats, secrets, warc
 from pagequarry.llm.words import slices, text_bytes
 from pagequarry.session import Workspace
@@ -197,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_warc": op9_warc,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op5_substring_dedup": r"""
