@@ -258,7 +258,7 @@ def _build(entries: DataFrame, bits: int, filter_bits: int) -> Filter:
     while needed() > filter_bits and least[WORD] < LEVELS - 1:
         least[WORD] += 1
     buckets = 1 << bits
-    size = max(64, 1 << int(np.ceil(np.log2(max(needed(), 1) / buckets))))
+    size = max(64, 1 << max(0, int(np.ceil(np.log2(max(needed(), 1) / buckets)))))
     size = min(size, max(64, filter_bits // buckets))
 
     def set_bits(key: tuple, table: pa.Table) -> pa.Table:

@@ -7,8 +7,8 @@ become smallest; it opens a new one only if none has room. Pieces come by fallin
 length, so that small ones are left to close the gaps.
 
 Groups of rows are packed on their own. Pieces of sequences that are not full go
-on to the next round, with fewer groups, until one group is left; what a group
-holds is bounded, and only row counts reach the driver.
+on to the next round, with fewer groups, until one group is left or a round fills
+few sequences; what a group holds is bounded, and only row counts reach the driver.
 
 Null and empty texts are a single end id. Repeated rows are packed each. Extra
 columns of ``pack``'s input are kept, but for sequence_id and offset.
@@ -16,6 +16,7 @@ columns of ``pack``'s input are kept, but for sequence_id and offset.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -117,37 +118,36 @@ def pack(
     """pieces(length, ...) with sequence_id and offset; each length is 1 to ``capacity``."""
     rest = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     left = ws.save(pieces.select(*rest), "pieces")
+    rows = left.count()
     done: list[DataFrame] = []
-    number = 0
-    while True:
-        rows = left.count()
+    for number in itertools.count():
         groups = max(1, -(-rows // group_rows))
-        made = _packed(left, rest, groups, number, groups == 1, capacity)
-        made = ws.save(made, f"round_{number}")
-        done.append(made.where("_kept").drop("_kept"))
-        if groups == 1:
+        made = ws.save(_packed(left, rest, groups, number, capacity), f"round_{number}")
+        left, before = made.where("NOT _full").select(*rest), rows
+        rows = left.count()
+        # where most sequences cannot be filled, another round would not fill them either
+        if groups == 1 or 2 * rows > before:
+            done.append(made.drop("_full"))
             break
-        left = made.where("NOT _kept").select(*rest)
-        number += 1
+        done.append(made.where("_full").drop("_full"))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _packed(left: DataFrame, rest: list[str], groups: int, number: int, last: bool, capacity: int) -> DataFrame:
-    schema = T.StructType([*left.schema.fields]).add("sequence_id", "long").add("offset", "long").add("_kept", "boolean")
+def _packed(left: DataFrame, rest: list[str], groups: int, number: int, capacity: int) -> DataFrame:
+    schema = T.StructType([*left.schema.fields]).add("sequence_id", "long").add("offset", "long").add("_full", "boolean")
 
     def place(key: tuple, group: pa.Table) -> pa.Table:
         lengths = group.column("length").to_numpy().astype(np.int64)
         sequence, offset, fills = sum_of_squares(lengths, capacity)
         base = (number << 56) + (key[0].as_py() << 24)
-        kept = np.ones(len(lengths), bool) if last else fills[sequence] == capacity
         return (
             group.select(rest)
             .append_column("sequence_id", pa.array(base + sequence, pa.int64()))
             .append_column("offset", pa.array(offset, pa.int64()))
-            .append_column("_kept", pa.array(kept))
+            .append_column("_full", pa.array(fills[sequence] == capacity))
         )
 
     # by the row's place in the stored table, so that equal rows are dealt out too

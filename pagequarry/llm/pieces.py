@@ -221,7 +221,7 @@ def encode_texts(
     if alpha > 0:
         place = (np.arange(len(starts)) - first[doc]).astype(np.uint64)
         variant = mix(docs[doc] ^ mix(place + np.uint64(seed))) % np.uint64(variants)
-        key = mix(key ^ mix(variant + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)))
+        key = mix(key ^ mix(variant + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)))
     keys, one, which = np.unique(key, return_index=True, return_inverse=True)
     texts = [
         (" " if h else "") + bytes(data[a:b]).decode("utf-8", "replace")

@@ -36,6 +36,7 @@ MIN_VALUE = 6
 MIN_CANDIDATE = 20
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_CANDIDATE)
 THRESHOLD = 0.75
+SMOOTHING = 20
 
 # Character classes of the models: 0 is everything outside identifiers.
 _ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -94,8 +95,9 @@ def _count_labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def train(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratio, random over ordinary, of each transition: [STATES, STATES].
 
-    At most 2 * 66 * 66 counts reach the driver. Both models are smoothed by one
-    virtual sample of a uniform next character for each state.
+    At most 2 * 66 * 66 counts reach the driver. A model's transitions are smoothed
+    by SMOOTHING virtual ones from its characters' own frequencies, and those by one
+    virtual sample of each character.
     """
     rows = (
         docs.select("text")
@@ -104,9 +106,11 @@ def train(docs: DataFrame) -> np.ndarray:
         .agg(F.sum("n").alias("n"))
         .collect()
     )
-    counts = np.full((2, STATES, STATES), 1.0)
+    counts = np.zeros((2, STATES, STATES))
     for row in rows:
         counts[row["label"], row["pair"] // STATES, row["pair"] % STATES] += row["n"]
+    single = counts.sum(axis=1, keepdims=True) + 1
+    counts += SMOOTHING * single / single.sum(axis=2, keepdims=True)
     log = np.log(counts / counts.sum(axis=2, keepdims=True))
     return log[1] - log[0]
 
