@@ -2,7 +2,8 @@
 
 Two first-order character models are trained from samples the patterns label:
 random strings are the values inside pattern matches, ordinary identifiers are
-all other words. Both are tables of transition counts over 66 character classes,
+all other runs of identifier characters that are too short to be a secret; the
+longer ones have no label. Both are tables of transition counts over 66 character classes,
 summed by Spark over every whole text, so their size does not depend on the data.
 A long run of identifier characters is a secret if the random model explains it
 better by ``threshold`` nats per character.
@@ -59,6 +60,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
+def _long_runs(inside: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which bytes are in a run of at least MIN_CANDIDATE identifier characters."""
+    change = np.zeros(len(inside) + 1, bool)
+    change[1:-1] = inside[1:] != inside[:-1]
+    change[offsets] = True
+    edge = np.flatnonzero(change)
+    size = np.diff(np.r_[edge, len(inside)])
+    return np.repeat(size >= MIN_CANDIDATE, size)[: len(inside)] & inside
+
+
 def _count_labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, STATES * STATES), np.int64)
     for batch in batches:
@@ -83,7 +94,7 @@ def _count_labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             real = (state[:-1] > 0) & (state[1:] > 0)
             real[offsets[(offsets > 0) & (offsets < len(data))] - 1] = False
             counts[1] += np.bincount(pair[real & inside], minlength=STATES * STATES)
-            ordinary = real & ~(random[:-1] | random[1:])
+            ordinary = real & ~(random[:-1] | random[1:]) & ~_long_runs(state > 0, offsets)[1:]
             counts[0] += np.bincount(pair[ordinary], minlength=STATES * STATES)
     label, pair = np.nonzero(counts)
     yield pa.RecordBatch.from_arrays(
