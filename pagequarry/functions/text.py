@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,13 +26,23 @@ SPACE = r"(?U)[\s\x1c-\x1f]"
 TAG = r"""</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>"""
 HIDDEN = (
     r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
+    r"|<(script|style|template)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
     r"|<[!?][^>]*>"
 )
 MARKUP = HIDDEN + "|" + TAG
 
-# Character references: numeric ones, and names from the table of HTML 4.
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
+# Character references. Names need their semicolon, but for the oldest ones.
+NUMERIC = r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+NAMED = r"^([a-zA-Z][a-zA-Z0-9]*);"
+_OLD_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+# numbers from 0x80 to 0x9F mean the Windows code page, where that has a character
+_WINDOWS = ("", "")
+for _code in range(0x80, 0xA0):
+    if _shown := bytes([_code]).decode("cp1252", "ignore"):
+        _WINDOWS = (_WINDOWS[0] + chr(_code), _WINDOWS[1] + _shown)
+OLD = "^(?:" + "|".join(_OLD_NAMES) + ")"
+# in attribute values, what could be the name of a URL parameter is left alone
+OLD_IN_ATTRIBUTE = OLD + "(?![=a-zA-Z0-9])"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -53,43 +64,63 @@ def is_html_response(content_type: Column) -> Column:
     return content_type.contains("text/html")
 
 
-def unescape(text: Column) -> Column:
+def unescape(text: Column, attribute: bool = False) -> Column:
     """Decode character references in one pass, so ``&amp;lt;`` gives ``&lt;``.
 
     The text is cut at each ampersand; a piece that starts with a known
     reference gets its character, any other piece gets its ampersand back.
+    ``attribute`` follows the stricter rule for values of attributes.
     """
-    names = F.create_map(
-        *[F.lit(v) for name, code in name2codepoint.items() for v in (name, chr(code))]
-    )
+    table = {name.rstrip(";"): value for name, value in html5.items()}
+    names = F.from_json(F.lit(json.dumps(table)), "map<string,string>")  # folded to a constant
 
     def from_code(code: Column) -> Column:
         # UTF-32 bytes of the code point; codes that are no character give U+FFFD
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         code = F.when(valid, code).otherwise(F.lit(0xFFFD))
-        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.translate(plain, *_WINDOWS)
 
-    def character(name: Column) -> Column:
-        digits = F.substr(name, F.lit(2))
+    def by_number(reference: Column) -> Column:
+        digits = F.rtrim(F.substr(reference, F.lit(2)), F.lit(";"))
+        value = F.when(
+            digits.rlike("^[xX]"), F.conv(F.substr(digits, F.lit(2)), 16, 10).try_cast("long")
+        ).otherwise(digits.try_cast("long"))
+        return bind(F.coalesce(value, F.lit(0)), from_code)
+
+    def by_name(name: Column) -> Column:
         return (
             F.when(name == "amp", F.lit("&"))
             .when(name == "lt", F.lit("<"))
             .when(name == "gt", F.lit(">"))
             .when(name == "quot", F.lit('"'))
-            .when(name == "apos", F.lit("'"))
-            .when(
-                name.rlike("^#[xX]"),
-                from_code(F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("long")),
-            )
-            .when(name.startswith("#"), from_code(digits.try_cast("long")))
+            .when(name == "nbsp", F.lit("\u00a0"))
             .otherwise(F.try_element_at(names, name))
         )
 
+    def after(part: Column, length: Column) -> Column:
+        return F.substr(part, length + 1)
+
     def piece(part: Column) -> Column:
-        reference = F.regexp_extract(part, REFERENCE, 0)
-        decoded = bind(reference, lambda r: F.when(r != "", character(F.rtrim(r, F.lit(";")))))
-        rest = F.regexp_replace(part, REFERENCE, "")
-        return F.coalesce(F.concat(decoded, rest), F.concat(F.lit("&"), part))
+        found = F.struct(
+            F.regexp_extract(part, NUMERIC, 0).alias("number"),
+            F.regexp_extract(part, NAMED, 1).alias("name"),
+            F.regexp_extract(part, OLD_IN_ATTRIBUTE if attribute else OLD, 0).alias("old"),
+        )
+
+        def decoded(f: Column) -> Column:
+            named = F.when(f["name"] != "", by_name(f["name"]))
+            return F.coalesce(
+                F.when(
+                    f["number"] != "",
+                    F.concat(by_number(f["number"]), after(part, F.length(f["number"]))),
+                ),
+                F.concat(named, after(part, F.length(f["name"]) + 1)),
+                F.when(f["old"] != "", F.concat(by_name(f["old"]), after(part, F.length(f["old"])))),
+                F.concat(F.lit("&"), part),
+            )
+
+        return bind(found, decoded)
 
     def decode(whole: Column) -> Column:
         parts = F.split(whole, "&")

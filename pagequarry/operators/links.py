@@ -47,7 +47,7 @@ def page_links(
 
     def link(tag: Column, pos: Column) -> Column:
         value = F.regexp_replace(F.regexp_extract(tag, HREF, 1), "^[\"']|[\"']$", "")
-        return F.struct(pos.alias("pos"), tx.unescape(value).alias("href"))
+        return F.struct(pos.alias("pos"), tx.unescape(value, attribute=True).alias("href"))
 
     links = F.transform(tags, link)
     if accept is not None:
