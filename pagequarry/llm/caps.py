@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.llm.components import components, forest
+from pagequarry.llm.words import overlaps
 from pagequarry.operators.spread import spread_join
 from pagequarry.session import Workspace
 
@@ -144,11 +145,13 @@ def _compare(cells: DataFrame) -> DataFrame:
             near = units[left] @ units[right].T >= COSINE
             i, j = np.nonzero(np.triu(near, 1) if alone else near)
             i, j = left[i], right[j]
-            lists = {k: np.frombuffer(rows[k][6], np.int64) for k in set(i.tolist()) | set(j.tolist())}
-            own = [
-                k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist()))
-                if np.intersect1d(lists[x], lists[y], True)[0] == rows[x][1]
-            ]
+            if not len(i):
+                return
+            # a pair counts here if it shares no filter with a smaller number
+            some, place = np.unique(np.r_[i, j], return_inverse=True)
+            lists = [np.frombuffer(rows[k][6], np.int64) for k in some]
+            before = [x[: np.searchsorted(x, rows[k][1])] for x, k in zip(lists, some)]
+            own = overlaps(before, before)[place[: len(i)], place[len(i) :]] == 0
             i, j = i[own], j[own]
             copies = np.array([r[5] for r in rows])
             n = np.bincount(i, copies[j], len(rows)) + np.bincount(j, copies[i], len(rows))

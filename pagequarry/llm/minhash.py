@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm.components import components, forest
 from pagequarry.llm.ranges import release
-from pagequarry.llm.words import binary_column, column_words, mix, ragged, slices, window_hashes, window_starts
+from pagequarry.llm.words import binary_column, column_words, mix, overlaps, ragged, slices, window_hashes, window_starts
 from pagequarry.operators.spread import spread_join
 from pagequarry.session import Workspace
 
@@ -106,40 +106,13 @@ def _values(nodes: DataFrame) -> DataFrame:
     return nodes.select("rep", "n", "sketch").mapInArrow(unpack, "value long, rep long, n long")
 
 
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """|a & b| for each a in ``left`` and b in ``right``, over values that both sides have."""
-    a, b = np.concatenate(left), np.concatenate(right)
-    common = np.intersect1d(a, b)
-    out = np.zeros((len(left), len(right)), np.float32)
-
-    def places(sets: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(common, flat)
-        ok = common[np.minimum(at, len(common) - 1)] == flat
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        return row[ok], at[ok]
-
-    if not len(common):
-        return out
-    (ra, ca), (rb, cb) = places(left, a), places(right, b)
-    for start in range(0, len(common), 4096):  # dense in strips of bounded width
-        width = min(4096, len(common) - start)
-        x = np.zeros((len(left), width), np.float32)
-        y = np.zeros((len(right), width), np.float32)
-        inside = (ca >= start) & (ca < start + width)
-        x[ra[inside], ca[inside] - start] = 1
-        inside = (cb >= start) & (cb < start + width)
-        y[rb[inside], cb[inside] - start] = 1
-        out += x @ y.T
-    return out
-
-
 def cell_links(
     left: list[np.ndarray], right: list[np.ndarray] | None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of linked sets between two blocks, or within one if ``right`` is None."""
     other = left if right is None else right
     # the union sketch holds no more common values than both sketches share
-    bound = _overlaps([s[:K] for s in left], [s[:K] for s in other])
+    bound = overlaps([s[:K] for s in left], [s[:K] for s in other])
     na, nb = (np.array([len(s) for s in side]) for side in (left, other))
     able = bound >= np.maximum.outer(*(np.minimum(needed(n), NEED) for n in (na, nb)))
     if right is None:
@@ -147,7 +120,7 @@ def cell_links(
     rows, columns = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
     if not len(rows):
         return rows, columns
-    both = _overlaps([left[i] for i in rows], [other[j] for j in columns]).astype(np.int64)
+    both = overlaps([left[i] for i in rows], [other[j] for j in columns]).astype(np.int64)
     union = na[rows][:, None] + nb[columns][None, :] - both
     i, j = np.nonzero((100 * both >= THRESHOLD * union) & able[np.ix_(rows, columns)])
     return rows[i], columns[j]

@@ -165,8 +165,28 @@ def binary_column(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return made.cast(pa.binary())
 
 
-def crc32_of_id(ids: pa.Array) -> np.ndarray:
-    """CRC-32 of each id written as decimal text; of the empty text for a null."""
-    from zlib import crc32
-
-    return np.array([crc32(b"" if x is None else b"%d" % x) for x in ids.to_pylist()], np.int64)
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """|a & b| for each a in ``left`` and b in ``right``, over values that both sides have."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    common = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    def places(sets: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(common, flat)
+        ok = common[np.minimum(at, len(common) - 1)] == flat
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        return row[ok], at[ok]
+
+    if not len(common):
+        return out
+    (ra, ca), (rb, cb) = places(left, a), places(right, b)
+    for start in range(0, len(common), 4096):  # dense in strips of bounded width
+        width = min(4096, len(common) - start)
+        x = np.zeros((len(left), width), np.float32)
+        y = np.zeros((len(right), width), np.float32)
+        inside = (ca >= start) & (ca < start + width)
+        x[ra[inside], ca[inside] - start] = 1
+        inside = (cb >= start) & (cb < start + width)
+        y[rb[inside], cb[inside] - start] = 1
+        out += x @ y.T
+    return out
