@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.fixed import DAMPING, ROUNDS
 from pagequarry.operators.links import graph_nodes, out_degree
-from pagequarry.operators.spread import SALTS, hot_keys
+from pagequarry.operators.spread import hot_keys
 from pagequarry.session import Workspace
 
 
@@ -37,10 +37,10 @@ def pagerank(
     """
     edges = ws.save(edges.select("src", "dst", "weight"), "edges")
     hot = F.broadcast(hot_keys(edges, ["src"]))
-    salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("dst"), F.coalesce("_salts", F.lit(1))).cast("int")
     placed = ws.save(
         edges.join(hot, "src", "left").select(
-            "src", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).alias("_salt"), "dst", "weight"
+            "src", salt.alias("_salt"), "dst", "weight"
         ),
         "placed_edges",
     )

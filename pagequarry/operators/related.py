@@ -40,12 +40,17 @@ def train(
     partitions: int = 4,
     rounds: int = 1,
     seed: int = 1,
+    longest: int = 1_000_000,
+    most_words: int = 5_000_000,
 ) -> Word2VecModel:
-    """M5: word vectors of ``corpus(tokens)``.
+    """M5: word vectors of ``corpus(tokens)``; contexts break after ``longest`` words.
 
-    The trainer keeps the vocabulary and its vectors on the driver; raise
-    ``min_count`` with the corpus to bound them.
+    The trainer keeps the vocabulary and its vectors on the driver. A vocabulary
+    of more than ``most_words`` is refused: raise ``min_count`` with the corpus.
     """
+    size = word_counts(corpus, min_count).count()
+    if size > most_words:
+        raise ValueError(f"{size} words with min_count={min_count}; the driver may hold {most_words}")
     trainer = Word2Vec(
         vectorSize=vector_size,
         windowSize=window,
@@ -53,6 +58,7 @@ def train(
         numPartitions=partitions,
         maxIter=rounds,
         seed=seed,
+        maxSentenceLength=longest,
         inputCol="tokens",
         outputCol="vector",
     )
@@ -133,7 +139,10 @@ def expand_queries(
 
 
 def embed_with_model(texts: DataFrame, model: Word2VecModel) -> DataFrame:
-    """M7: ``texts(item_id, text)`` to (item_id, vector): mean word vector, length 1."""
+    """M7: ``texts(item_id, text)`` to (item_id, vector): mean word vector, length 1.
+
+    Texts without a known word get a zero vector.
+    """
     tokens = texts.select("item_id", tx.plain_words(F.col("text")).alias(model.getInputCol()))
     mean = vector_to_array(F.col(model.getOutputCol()))
     return model.transform(tokens).select("item_id", normalized(mean).alias("vector"))
@@ -144,7 +153,7 @@ def embed_with_vectors(
 ) -> DataFrame:
     """M7 over a vector table (word, vector): mean word vector, length 1.
 
-    Texts without a known word give no row. If the measured vector table fits
+    Texts without a known word get a zero vector. If the measured vector table fits
     in a broadcast, each text is looked up where it is, without a shuffle;
     beyond that, words are counted per text and joined with the table.
     """
@@ -165,11 +174,17 @@ def embed_with_vectors(
         mean = joined.groupBy("item_id").agg(weighted.alias("_mean")).select(
             "item_id", vector_to_array("_mean").alias("_mean")
         )
+        first = vectors.select(F.size("vector").alias("n")).first()
+        zero = F.array_repeat(F.lit(0.0), first["n"] if first else 0)
+        mean = words.select("item_id").join(mean, "item_id", "left").select(
+            "item_id", F.coalesce("_mean", zero).alias("_mean")
+        )
     return mean.select("item_id", normalized(F.col("_mean")).alias("vector"))
 
 
 def _mean_by_broadcast(words: DataFrame, vectors: DataFrame) -> DataFrame:
     rows = vectors.collect()  # measured: at most the broadcast limit
+    width = len(rows[0]["vector"]) if rows else 0
     shared = words.sparkSession.sparkContext.broadcast(
         ([row["word"] for row in rows], [row["vector"] for row in rows])
     )
@@ -182,14 +197,12 @@ def _mean_by_broadcast(words: DataFrame, vectors: DataFrame) -> DataFrame:
         place = {word: i for i, word in enumerate(known)}
         table = np.array(table, dtype=np.float64)
         for batch in batches:
-            ids, found = [], []
-            for item_id, tokens in zip(batch["item_id"], batch["_words"]):
+            found = []
+            for tokens in batch["_words"]:
+                tokens = () if tokens is None else tokens
                 at = [place[token] for token in tokens if token in place]
-                if at:
-                    ids.append(item_id)
-                    found.append(table[at].mean(axis=0))
-            if ids:
-                yield pd.DataFrame({"item_id": ids, "_mean": found})
+                found.append(table[at].mean(axis=0) if at else np.zeros(width))
+            yield pd.DataFrame({"item_id": batch["item_id"], "_mean": found})
 
     id_type = words.schema["item_id"].dataType.simpleString()
     return words.mapInPandas(means, f"item_id {id_type}, _mean array<double>")

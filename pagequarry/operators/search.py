@@ -16,6 +16,9 @@ from pagequarry.operators.spread import row_bytes, shard_of, spread_join, top_k
 
 # Widest row made of a query term: its statistics and the overhead of a hash table.
 WEIGHTED_ROW_BYTES = 128
+# Up to so many distinct terms are written into the scan of the postings, so that
+# files and row groups without them are passed over.
+LITERAL_TERMS = 2000
 HIT_ROW_BYTES = 256
 
 
@@ -55,6 +58,16 @@ def document_ranks(docs: DataFrame, ranks: DataFrame) -> DataFrame:
     )
 
 
+def ranked_documents(docs: DataFrame, ranks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents with their rank, for indexing, and those without one, to quarantine.
+
+    Ranks are one row for each URL, as PageRank gives them.
+    """
+    joined = docs.join(ranks.select("url", "rank"), "url", "left")
+    bad = joined.where("rank IS NULL").select("doc_id", "url", F.lit("no rank").alias("reason"))
+    return joined.where("rank IS NOT NULL"), bad
+
+
 def greatest_rank(ranks: DataFrame) -> DataFrame:
     """A7."""
     return ranks.agg(F.max("rank").alias("max_rank"))
@@ -108,8 +121,12 @@ def match(
     size = size or BatchSize.of(terms)
     shards = shard_count(index.postings)
     # the bucket is the partition column of stored postings: others are not read
+    stored = index.postings.where(F.col("bucket").isin(size.buckets))
+    wanted = terms.select("term").distinct().limit(LITERAL_TERMS + 1).collect()
+    if len(wanted) <= LITERAL_TERMS:
+        stored = stored.where(F.col("term").isin([row["term"] for row in wanted]))
     postings = spread_join(
-        index.postings.where(F.col("bucket").isin(size.buckets)),
+        stored,
         _weighted_terms(terms, index, size),
         ["bucket", "term"],
         spread_on=["doc_id"],

@@ -12,7 +12,6 @@ from pagequarry.session import Workspace
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.001
-SALTS = 16
 SHARDS = 16
 
 
@@ -44,7 +43,10 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Data
     """Keys that own more than ``share`` of the rows: at most ``1 / share`` of them."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_n")).scalar()
-    return counts.where(F.col("_n") > total * share).select(*on, F.lit(True).alias("_hot"))
+    hot = counts.where(F.col("_n") > total * share)
+    # so that no part of a hot key is larger than ``share`` of the rows
+    salts = F.least(F.ceil(F.col("_n") / (total * share)), F.col("_n"))
+    return hot.select(*on, salts.cast("int").alias("_salts"))
 
 
 def spread_join(
@@ -55,14 +57,14 @@ def spread_join(
     spread_on: Sequence[str] | None = None,
     small_bytes: int | None = None,
     limit: int | None = None,
-    salts: int = SALTS,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Equi-join whose hot keys are split over ``salts`` tasks.
+    """Equi-join whose keys with more than ``share`` of the rows are split.
 
     The small side is broadcast if its size allows; the size is measured unless
     the caller knows a bound. Beyond that, both
-    sides are shuffled; rows of a hot key are spread by a hash of ``spread_on``
-    and the few matching rows of the small side are repeated for each salt.
+    sides are shuffled; rows of a hot key are spread by a hash of ``spread_on``, over
+    as many parts as it has times the share, and the few matching rows of the small side are repeated for each salt.
     Each big row still meets every small row of its key exactly once, so inner,
     left, left_semi and left_anti joins keep their meaning.
     """
@@ -71,21 +73,12 @@ def spread_join(
     if small_bytes <= (BROADCAST_BYTES if limit is None else limit):
         return big.join(F.broadcast(small), list(on), how)
     spread_on = spread_on or [c for c in big.columns if c not in on]
-    hot = F.broadcast(hot_keys(big, on))  # at most 1 / HOT_SHARE rows
-    salt = F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")
-    left = (
-        big.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = (
-        small.join(hot, list(on), "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
+    hot = F.broadcast(hot_keys(big, on, share))  # at most 1 / share rows
+    salts = F.coalesce("_salts", F.lit(1))
+    salt = F.pmod(F.xxhash64(*spread_on), salts).cast("int")
+    left = big.join(hot, list(on), "left").withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0), salts - 1)
+    right = small.join(hot, list(on), "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

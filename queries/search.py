@@ -9,6 +9,7 @@ from pagequarry.functions.fixed import HITS_PER_PAGE, HITS_PER_QUERY
 from pagequarry.operators import index as ix, search as se
 from pagequarry.plans.site_search import build_site, two_panel_page
 from pagequarry.session import Workspace
+from pagequarry.sources.pages import append_errors
 from pagequarry.streaming.indexing import index_stream
 from queries import sql
 from queries.inputs import (
@@ -108,6 +109,20 @@ def document_ranks(spark, sf_dir):
     return _ranked_documents(spark, sf_dir)
 
 
+def ranked_index(spark, sf_dir):
+    """Terms of an index of the documents that have a rank."""
+    good, _ = se.ranked_documents(documents(spark, sf_dir), label_ranks(spark, sf_dir))
+    path = Workspace(spark, "ranked").path("index")
+    ix.write(good.select("doc_id", "url", "content"), path)
+    return ix.open_index(spark, path).terms
+
+
+def rank_quarantine(spark, sf_dir):
+    """Documents without a rank, read back from the error table."""
+    _, bad = se.ranked_documents(documents(spark, sf_dir), label_ranks(spark, sf_dir))
+    return append_errors(bad, Workspace(spark, "errors").path("errors"), "rank")
+
+
 def greatest_rank(spark, sf_dir):
     return se.greatest_rank(label_ranks(spark, sf_dir))
 
@@ -182,6 +197,8 @@ QUERIES = {
     "blended_search_rank_once": blended_search_rank_once,
     "rank_only_search": rank_only_search,
     "document_ranks": document_ranks,
+    "ranked_index": ranked_index,
+    "rank_quarantine": rank_quarantine,
     "greatest_rank": greatest_rank,
     "stopword_query": stopword_query,
     "two_panel_page": two_panels,
@@ -226,6 +243,13 @@ FROM terms CROSS JOIN stats""",
     "document_ranks": f"""
 WITH {sql.LABEL_RANKS}
 SELECT doc_id, coalesce(rank, 0.0)::DOUBLE AS rank FROM documents LEFT JOIN ranks USING (doc_id)""",
+    "ranked_index": f"""
+WITH docs AS (
+  SELECT doc_id, text AS content FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), {sql.INDEX}
+SELECT term, df, max_tf, min_len::INT AS min_len FROM terms""",
+    "rank_quarantine": f"""
+WITH {sql.DOCS}
+SELECT doc_id, url, 'no rank' AS reason, 'rank' AS job FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "greatest_rank": f"WITH {sql.LABEL_RANKS} SELECT max(rank) AS max_rank FROM ranks JOIN documents USING (doc_id)",
     "stopword_query": f"""
 SELECT conv_id || '/' || turn AS query_id,

@@ -31,13 +31,28 @@ def _corpus(spark, sf_dir):
     )
 
 
+# Numbers in a given embedding.
+WIDTH = 64
+
+
 def given_vectors(spark, sf_dir):
-    """vectors(word, vector): the i-th most frequent word has the i-th given embedding."""
+    """vectors(word, vector) for every word of the vocabulary.
+
+    The n given embeddings serve the n most frequent words; the next n words get
+    them rotated by one place, and so on; after WIDTH rotations they are reversed.
+    """
     def build(path):
         vocabulary = rl.word_counts(_corpus(spark, sf_dir))
         numbered = dense_ids(vocabulary, [F.desc("n"), "word"], Workspace(spark, "words"))
-        given = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("idx"), "embedding")
-        numbered.join(given, "idx").select("word", F.col("embedding").alias("vector")).write.parquet(path)
+        given = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+        n = F.lit(given.count())
+        turn = F.floor(F.col("idx") / n)
+        by = (turn % WIDTH).cast("int")
+        turned = F.concat(F.slice("embedding", by + 1, F.lit(WIDTH)), F.slice("embedding", F.lit(1), by))
+        back = F.floor(turn / WIDTH) % 2 == 1
+        vector = F.when(back, F.reverse(turned)).otherwise(turned)
+        words = numbered.withColumn("vec_id", F.col("idx") % n).join(given, "vec_id")
+        words.select("word", vector.alias("vector")).write.parquet(path)
 
     return spark.read.parquet(stored_once(spark, sf_dir, "vectors", build))
 
@@ -169,8 +184,12 @@ vocabulary AS (
   FROM (SELECT unnest({sql.plain_words('text')}) AS word FROM documents)
   GROUP BY word HAVING count(*) >= 2),
 vectors AS (
-  SELECT word, list_transform(embedding, lambda x: x::DOUBLE) AS vector
-  FROM vocabulary JOIN embeddings ON vec_id = idx)"""
+  SELECT word, CASE WHEN idx // (n * {WIDTH}) % 2 = 1 THEN list_reverse(turned) ELSE turned END AS vector
+  FROM (
+    SELECT word, idx, n, list_transform(
+      list_concat(embedding[moved + 1:], embedding[:moved]), lambda x: x::DOUBLE) AS turned
+    FROM (SELECT word, idx, n, idx // n % {WIDTH} AS moved FROM vocabulary, (SELECT count(*) AS n FROM embeddings))
+    JOIN embeddings ON vec_id = idx % n))"""
 
 SIMILAR = f"""
 {VECTORS},
@@ -201,7 +220,7 @@ expanded AS (
 
 
 def _embedded(name: str, texts: str) -> str:
-    """name(item_id, vector): mean word vector of texts(item_id, text), length 1."""
+    """name(item_id, vector): mean word vector of texts(item_id, text), length 1, or zero."""
     return f"""
 {name}_counts AS (
   SELECT item_id, word, count(*) AS n
@@ -211,8 +230,9 @@ def _embedded(name: str, texts: str) -> str:
   FROM (SELECT item_id, n, unnest(vector) AS x, unnest(range(len(vector))) AS d
         FROM {name}_counts JOIN vectors USING (word)) GROUP BY item_id, d),
 {name} AS (
-  SELECT item_id, list_transform(v, lambda x: x / norm) AS vector
-  FROM (SELECT item_id, list(x ORDER BY d) AS v, sqrt(sum(x * x)) AS norm FROM {name}_sums GROUP BY item_id))"""
+  SELECT item_id, coalesce(list_transform(v, lambda x: x / norm), list_transform(range({WIDTH}), lambda x: 0.0)) AS vector
+  FROM {texts} LEFT JOIN (
+    SELECT item_id, list(x ORDER BY d) AS v, sqrt(sum(x * x)) AS norm FROM {name}_sums GROUP BY item_id) USING (item_id))"""
 
 
 _STORE = f"""

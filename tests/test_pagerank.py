@@ -47,12 +47,11 @@ def test_small_graphs(spark, name, dangling):
     assert sum(r.rank for r in got) <= 1 + 1e-9
 
 
-def test_hub_that_links_to_a_third(spark, monkeypatch):
-    monkeypatch.setattr(pr, "SALTS", 5)
+def test_hub_that_links_to_a_third(spark):
     edges = [("hub", f"n{i}", 1) for i in range(100)] + [(f"n{i}", f"n{(i * 3) % 100}", 1) for i in range(100)]
     edges += [(f"n{i}", "hub", 2) for i in range(100)]
     df = spark.createDataFrame(edges, "src string, dst string, weight long")
-    assert sp.hot_keys(df, ["src"]).where("src = 'hub'").count() == 1
+    assert sp.hot_keys(df, ["src"]).where("src = 'hub' AND _salts > 10").count() == 1
     got = {r.url: r.rank for r in pr.pagerank(df, Workspace(spark), rounds=3).collect()}
     expected = dense(edges, [], 3)
     assert got.keys() == expected.keys()

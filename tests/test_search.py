@@ -133,8 +133,11 @@ def test_only_needed_buckets_and_columns_are_read(inputs):
     one = queries.where("query_id = 2")
     plan = se.retrieve(one, index)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
-    assert any("bucket#" in s and " IN (" in s.split("PartitionFilters")[1] or " = " in s.split("PartitionFilters")[1]
-               for s in scans if "postings" in s)
+    (postings,) = [s for s in scans if re.search(r"[\[, ]tf#", s)]
+    buckets = postings.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "bucket#" in buckets
+    pushed = postings.split("PushedFilters: [")[1].split("]")[0]
+    assert "In(term" in pushed or "EqualTo(term" in pushed
     assert not any("content#" in s for s in scans)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 

@@ -31,7 +31,8 @@ def test_spread_join_equals_plain_join(skewed, how):
 
 def test_hot_keys_are_bounded_and_split(skewed):
     big, small = skewed
-    assert sp.hot_keys(big, ["k"], 0.2).select("k").collect() == [("hot",)]
+    assert sp.hot_keys(big, ["k"], 0.2).collect() == [("hot", 2)]
+    assert sp.hot_keys(big, ["k"], 0.05).where("k = 'hot'").first()["_salts"] == 7
     salted = sp.spread_join(big, small, ["k"], small_bytes=10**12)
     plan = salted._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan

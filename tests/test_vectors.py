@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions.fixed import CONTEXT_SEPARATOR
 from pagequarry.operators import answers as an, related as rl
 from pagequarry.operators.chunks import chunk_counts, make_splitter, split_documents
+from pagequarry.operators import nearest as nr
 from pagequarry.operators.nearest import nearest, normalized
 from pagequarry.plans.question_answering import ask, build_vector_store, open_vector_store
 from pagequarry.sources.tables import load_model, save_model
@@ -182,8 +183,25 @@ def test_embedding_by_table(spark, word_table, limit):
     df = spark.createDataFrame([(1, "King king stone."), (2, "nothing")], "item_id int, text string")
     rows = rl.embed_with_vectors(df, word_table, limit).collect()
     mean = np.array([2, 1.2]) / 3
-    assert [r.item_id for r in rows] == [1]
-    assert rows[0].vector == pytest.approx(list(mean / np.linalg.norm(mean)))
+    by_id = {r.item_id: r.vector for r in rows}
+    assert by_id[1] == pytest.approx(list(mean / np.linalg.norm(mean)))
+    assert by_id[2] == [0.0, 0.0]
+
+
+def test_large_vocabulary_is_refused(spark):
+    corpus = spark.createDataFrame([(["a", "b", "a", "b"],)], "tokens array<string>")
+    with pytest.raises(ValueError, match="min_count=2"):
+        rl.train(corpus, most_words=1)
+
+
+@pytest.mark.parametrize("tile", [7, 4_000_000])
+def test_nearest_in_tiles_with_ties(spark, monkeypatch, tile):
+    monkeypatch.setattr(nr, "TILE_SCORES", tile)
+    best = nr._make_kernel(3, "cosine")
+    items = np.array([[1.0, 0], [0, 1], [1, 0], [2, 0], [0, 0], [1, 1], [-1, 0]])
+    got = best(["p", "q"], np.array([[1.0, 0], [0, 3]]), ["g", "b", "c", "d", "e", "f", "a"], items)
+    # of equal scores the least ids
+    assert [(q, i) for q, i, _ in got] == [("p", "c"), ("p", "d"), ("p", "g"), ("q", "b"), ("q", "f"), ("q", "a")]
 
 
 def test_prompts(spark, ws, word_table):
