@@ -224,13 +224,13 @@ def robots_rules(robots: DataFrame, strict: bool = False) -> DataFrame:
 def allowed_urls(found: DataFrame, robots: DataFrame, url: str = "url") -> DataFrame:
     """Rows of ``found`` whose URL no robots rule of its site forbids.
 
-    ``robots(root, body)`` has one row per site. A URL meets only the rules of
-    its own site, which come as one array from that site's text, so this is an
-    equi-join on the site; large sites are spread over tasks.
+    Rules of several texts of one site all hold. A URL meets only the rules of
+    its own site, which come as one array, so this is an equi-join on the site;
+    large sites are spread over tasks.
     """
-    rules = robots.select(
-        F.col("root").alias("_root"),
-        urls.robots_prefixes(F.col("body"), F.col("root")).alias("_rules"),
+    prefixes = urls.robots_prefixes(F.col("body"), F.col("root"))
+    rules = robots.groupBy(F.col("root").alias("_root")).agg(
+        F.flatten(F.collect_set(prefixes)).alias("_rules")
     )
     keyed = found.withColumn("_root", urls.site_root(F.col(url)))
     joined = spread_join(keyed, rules, ["_root"], "left", spread_on=[url])

@@ -107,11 +107,15 @@ def test_wide_pages_give_several_lists(spark):
 
 def test_robots_join(spark):
     robots = spark.createDataFrame(
-        [("https://h.example", "Disallow: /b*\nDisallow:"), ("https://g.example", "Disallow: /")],
+        [
+            ("https://h.example", "Disallow: /b*\nDisallow:"),
+            ("https://h.example", "Disallow: /c"),  # another text of the site
+            ("https://g.example", "Disallow: /"),
+        ],
         "root string, body string",
     )
     urls_df = spark.createDataFrame(
-        [(u,) for u in ("https://h.example/a", "https://h.example/bc", "https://g.example/a", "https://f.example/b")],
+        [(u,) for u in ("https://h.example/a", "https://h.example/bc", "https://h.example/c", "https://g.example/a", "https://f.example/b")],
         "url string",
     )
     got = sorted(r.url for r in ln.allowed_urls(urls_df, robots).collect())

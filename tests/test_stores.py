@@ -1,6 +1,7 @@
 """Sources, sinks and sessions."""
 
 import base64
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +94,9 @@ def test_shared_folder_comes_from_the_session(spark):
 
     with pytest.raises(ValueError):
         session.shared_dir(Cluster)
+
+
+def test_token_corpus_after_an_interrupted_build(spark, ws):
+    pages = spark.createDataFrame([("https://s/1", "<p>Two words</p>")], "url string, html string")
+    Path(ws.path("tokens").removeprefix("file:"), "_temporary").mkdir(parents=True)
+    assert [r.tokens for r in pg.token_corpus(pages, ws.path("tokens")).collect()] == [["two", "words"]]
