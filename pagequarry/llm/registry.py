@@ -200,7 +200,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "pipeline": corpus_pipeline.run,
 }
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh
+            FROM d),
+        classes AS (
+            SELECT doc_id, len(sh) AS n, sh,
+                CASE WHEN len(sh) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY list_sort(sh)) END AS class_id
+            FROM s),
+        own AS (SELECT doc_id, n, unnest(sh) AS x FROM classes WHERE doc_id = class_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM own a JOIN own b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+        reach(a, b) AS (
+            SELECT doc_id, doc_id FROM classes WHERE doc_id = class_id
+            UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, n AS n_shingles, class_id, component_id, doc_id = component_id AS kept
+        FROM classes JOIN least ON class_id = a""",
+    "op10_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+        pairs AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE isfinite(list_cosine_similarity(a.e, b.e)) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(a, b) AS (
+            SELECT vec_id, vec_id FROM v UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN least ON least.a = vec_id LEFT JOIN links ON links.a = vec_id""",
     "op5_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
