@@ -27,14 +27,17 @@ def text_size(docs: DataFrame) -> int:
     return size or 0
 
 
+WAIT = 1.5
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now, not at some later collection.
 
     The first wait is for the events of the last job, which hold on to its plan.
     """
-    time.sleep(1.5)
+    time.sleep(WAIT)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)
+    time.sleep(WAIT / 3)
 
 
