@@ -7,7 +7,8 @@ gains more than a penalty for it. All documents of a piece of the table are
 worked on at once, as arrays; texts never leave their rows.
 
 Null texts, and texts without a letter, are ``und`` with score 0, as is every
-text if nothing was learned. Ties go to the first language in alphabetical
+text if nothing was learned. Texts of one or two letters are taken for the most
+common language, with an even score. Ties go to the first language in alphabetical
 order. Extra columns are kept; result columns replace input columns of the same name.
 """
 
@@ -63,6 +64,7 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Model:
     languages: tuple[str, ...]
     probability: np.ndarray  # [languages, FEATURES]
+    common: int = 0  # the language with most trigrams, for texts too short to have any
 
 
 def learn(labelled: DataFrame) -> Model:
@@ -100,7 +102,10 @@ def learn(labelled: DataFrame) -> Model:
     counts = np.full((len(languages), FEATURES), SMOOTHING)
     place = {lang: k for k, lang in enumerate(languages)}
     counts[[place[x] for x in rows["lang"]], rows["feature"].to_numpy(int)] += rows["n"].to_numpy(float)
-    return Model(languages, counts / counts.sum(axis=1, keepdims=True) if languages else counts)
+    if not languages:
+        return Model(languages, counts)
+    total = counts.sum(axis=1)
+    return Model(languages, counts / total[:, None], int(total.argmax()))
 
 
 def mixtures(
@@ -181,7 +186,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 if model.languages:
                     top = share.argmax(axis=1)
                     score = share.max(axis=1)
-                    known = np.array(letters) & (score > 0)
+                    known = np.array(letters, bool)
+                    short = score == 0
+                    top[short], score[short] = model.common, 1 / len(model.languages)
                     pred = np.where(known, top, len(names) - 1)
                     score = np.where(known, np.clip(score, 0.0, 1.0), 0.0)
                 else:

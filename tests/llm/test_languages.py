@@ -48,8 +48,9 @@ def test_mixtures(spark, model):
 
 
 def test_edges(spark, model):
-    got = languages.identify(frame(spark, EDGES, ("lang_pred",)), model).collect()
-    assert len(got) == len(EDGES)
+    rows = EDGES + [(2000, "é", None, None, 1), (2001, "q!", None, None, 2), (2002, "字", None, None, 1)]
+    got = languages.identify(frame(spark, rows, ("lang_pred",)), model).collect()
+    assert len(got) == len(rows)
     for r in got:
         letters = any(c.isalpha() for c in r["text"] or "")
         assert (r["lang_pred"] == "und") == (not letters)
