@@ -35,7 +35,7 @@ from pagequarry.session import Workspace
 
 SHINGLE = 5
 K = 64
-NEED = 26
+NEED = 24
 THRESHOLD = 75  # per cent
 BLOCK_SHINGLES = 250_000
 
