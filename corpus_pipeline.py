@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.llm import languages, minhash, packing, repeats, secrets
+from pagequarry.llm.ranges import small_batches
 from pagequarry.operators.spread import spread_join
 from pagequarry.session import Workspace
 
@@ -22,6 +23,7 @@ MAIN_LANGUAGE = 0.5  # least share of a document's main language
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents without a known language, or without a main one, go."""
+    small_batches(spark)
     model = languages.learn(docs.select("text", "lang"))
     found = languages.identify(docs, model)
     known = (F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)
@@ -33,6 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows that repeat an id, one stays.
     """
+    small_batches(spark)
     ws = Workspace(spark, "pipeline_minhash")
     found = minhash.near_duplicates(docs, ws)
     dropped = ws.save(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
@@ -46,6 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: words of windows that an earlier document has go; a document left empty goes."""
+    small_batches(spark)
     found = repeats.remove_repeats(docs, Workspace(spark, "pipeline_repeats"))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     found = found.where("n_removed < n_words OR n_removed = 0").withColumn("text", text)
@@ -54,12 +58,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: secrets become a mark; every document stays."""
+    small_batches(spark)
     cleaned = secrets.redact(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: pieces of documents with the sequence and place they are packed in."""
+    small_batches(spark)
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")

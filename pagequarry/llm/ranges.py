@@ -28,6 +28,17 @@ def text_size(docs: DataFrame) -> int:
 
 
 WAIT = 1.5
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send documents to Python in batches of BATCH_ROWS rows at most.
+
+    A worker and its executor hold a few batches at once, and documents are large rows.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def release(spark: SparkSession) -> None:

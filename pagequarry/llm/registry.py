@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pagequarry.llm import fingerprints as fp
 import corpus_pipeline
 from pagequarry.llm import caps, languages, lm, minhash, packing, pieces, repeats, secrets, warc
+from pagequarry.llm.ranges import small_batches
 from pagequarry.llm.words import slices, text_bytes
 from pagequarry.session import Workspace
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -54,6 +54,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1)
         yield batch.slice(start, end - start)
         start = end
+    pa.default_memory_pool().release_unused()  # workers are used again
 
 
 @dataclass
