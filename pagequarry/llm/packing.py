@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagequarry.llm.tokens import encode_texts
-from pagequarry.llm.words import binary_column, slices, text_bytes
+from pagequarry.llm.words import binary_column, gathered, slices, text_bytes
 from pagequarry.session import Workspace
 
 CAPACITY = 2048
@@ -46,7 +46,7 @@ def tokenize(
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, "text", TOKENIZED_BYTES):
             for part in slices(batch, "text", TOKENIZED_BYTES):
                 plain, counts = encode_texts(*text_bytes(part.column("text")), path)
                 n = counts + 1

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagequarry.llm.tokens import spread
-from pagequarry.llm.words import mix, slices, span_hashes, text_bytes
+from pagequarry.llm.words import gathered, mix, slices, span_hashes, text_bytes
 
 ALPHA = 0.1
 SEED = 1
@@ -308,7 +308,7 @@ def encode(docs: DataFrame, path: str, alpha: float = ALPHA, seed: int = SEED, v
     schema = T.StructType([f for f in docs.schema.fields if f.name != "ids"]).add("ids", T.ArrayType(T.IntegerType()))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, "text", ENCODED_BYTES):
             for part in slices(batch, "text", ENCODED_BYTES):
                 ids, counts = encode_texts(
                     *text_bytes(part.column("text")), names_of(part.column("doc_id")), path, alpha, seed, variants

@@ -16,7 +16,7 @@ from pagequarry.llm import fingerprints as fp
 import corpus_pipeline
 from pagequarry.llm import caps, languages, lm, minhash, packing, pieces, repeats, secrets, warc
 from pagequarry.llm.ranges import small_batches
-from pagequarry.llm.words import slices, text_bytes
+from pagequarry.llm.words import gathered, slices, text_bytes
 from pagequarry.session import Workspace
 
 
@@ -143,7 +143,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, "text", pieces.ENCODED_BYTES):
             for part in slices(batch, "text", pieces.ENCODED_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 docs = pieces.names_of(part.column("doc_id"))

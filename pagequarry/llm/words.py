@@ -57,6 +57,23 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
     pa.default_memory_pool().release_unused()  # workers are used again
 
 
+def gathered(
+    batches: Iterator[pa.RecordBatch], column: str, size: int
+) -> Iterator[pa.RecordBatch]:
+    """Join consecutive batches until they hold about ``size`` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            total += batch.column(batch.schema.get_field_index(column)).nbytes
+        if total >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 @dataclass
 class Words:
     """Places of words in ``data``: word ``i`` of all is ``data[starts[i]:ends[i]]``.
