@@ -42,6 +42,7 @@ BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
 END = np.uint64(0x7F4A7C159E3779B9)
 WORD, PAIR = 0, 1
+KEY_TYPE = ("<u8", "<u4")  # a pair is sent as the last 32 bits of its key
 _KIND = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -127,10 +128,10 @@ def _gather(table: pa.Table, bits: int) -> Iterator[tuple[int, int, np.ndarray,
             pairs.append(short_keys(pair_hashes(tokens, counts), bits)[train])
     tokens, train = (np.concatenate(x) for x in zip(*words))
     keys, which = np.unique(tokens, return_inverse=True)
-    counts = np.bincount(which, train, len(keys)).astype("<u4")
+    counts = np.bincount(which, train, len(keys)).astype(np.int64)
     made = [(WORD, keys, counts, (keys >> np.uint64(64 - bits)).astype(np.int64))]
     keys, counts = np.unique(np.concatenate(pairs), return_counts=True)
-    made.append((PAIR, keys, counts.astype("<u4"), (keys >> np.uint64(32)).astype(np.int64)))
+    made.append((PAIR, keys, counts, (keys >> np.uint64(32)).astype(np.int64)))
     for kind, keys, counts, bucket in made:
         if len(keys):
             first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -138,9 +139,16 @@ def _gather(table: pa.Table, bits: int) -> Iterator[tuple[int, int, np.ndarray,
                 yield kind, int(bucket[a]), keys[a:b], counts[a:b]
 
 
-def _packed_pairs(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """The last 32 bits of each key, as often as it counts: most count once."""
-    return np.repeat((keys & np.uint64(0xFFFFFFFF)).astype("<u4"), counts).tobytes()
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count, most being small, then those of 255 and more as 64 bits."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def _counts(raw: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts that ``_packed_counts`` packed."""
+    out = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, "<i8", offset=n)
+    return out
 
 
 @dataclass
@@ -175,8 +183,8 @@ def fit(
                 "kind": pa.array([r[0] for r in rows], pa.int32()),
                 "bucket": pa.array([r[1] for r in rows], pa.int32()),
                 "block": pa.array([key[0].as_py()] * len(rows), pa.int32()),
-                "keys": pa.array([_packed_pairs(r[2], r[3]) if r[0] == PAIR else r[2].tobytes() for r in rows], pa.binary()),
-                "counts": pa.array([r[3].tobytes() if r[0] == WORD else None for r in rows], pa.binary()),
+                "keys": pa.array([r[2].astype(KEY_TYPE[r[0]]).tobytes() for r in rows], pa.binary()),
+                "counts": pa.array([_packed_counts(r[3]) for r in rows], pa.binary()),
             }
         )
 
@@ -185,15 +193,14 @@ def fit(
         block = table.column("block").to_pylist()
         raw = table.column("keys").to_pylist()
         answers: list[bytes | None] = []
+        own = [np.frombuffer(x, KEY_TYPE[kind]) for x in raw]
+        n = np.concatenate([_counts(x, len(k)) for x, k in zip(table.column("counts").to_pylist(), own)])
+        keys, which = np.unique(np.concatenate(own), return_inverse=True)
+        totals = np.bincount(which, n, len(keys)).astype(np.int64)
         if kind == WORD:
-            own = [np.frombuffer(x, np.uint64) for x in raw]
-            n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()])
-            keys, which = np.unique(np.concatenate(own), return_inverse=True)
-            totals = np.bincount(which, n, len(keys)).astype(np.int64)
             answers = [x.astype("<i8").tobytes() for x in np.split(totals[which], np.cumsum([len(x) for x in own])[:-1])]
             keys, totals = short_keys(keys[totals > 0], bits), totals[totals > 0]
         else:
-            keys, totals = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in raw]), return_counts=True)
             keys = keys.astype(np.uint64) | np.uint64(bucket) << np.uint64(32)
             block, answers = [], []
         level = level_of(totals) if len(totals) else np.zeros(0, np.int64)

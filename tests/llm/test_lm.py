@@ -86,3 +86,15 @@ def test_levels():
     level = lm.level_of(n)
     assert level[0] == 0 and (np.diff(level) >= 0).all()
     assert (np.abs(np.log(lm.LEVEL_COUNT[level] / n)) <= np.log(lm.BASE) + 1e-9).all()
+
+
+def test_a_block_sends_a_pair_once():
+    import pyarrow as pa
+
+    table = pa.table({"text": ["a b " * 3000, "a b c"], "train": [True, True]})
+    sent = {kind: (keys, n) for kind, _, keys, n in lm._gather(table, 0)}
+    keys, n = sent[lm.PAIR]
+    assert len(keys) == len(set(keys.tolist())) == 6 and n.max() == 3001
+    assert len(lm._packed_counts(n)) < 6 + 8 * 3
+    for values in (n, np.array([0, 1, 254, 255, 256, 2**40])):
+        assert lm._counts(lm._packed_counts(values), len(values)).tolist() == values.tolist()
