@@ -98,3 +98,22 @@ def test_a_block_sends_a_pair_once():
     assert len(lm._packed_counts(n)) < 6 + 8 * 3
     for values in (n, np.array([0, 1, 254, 255, 256, 2**40])):
         assert lm._counts(lm._packed_counts(values), len(values)).tolist() == values.tolist()
+
+
+def test_no_count_is_dropped_beyond_any_filter_size(spark, ws):
+    """A bound on the filter that is carried elsewhere changes no score."""
+    rows = corpus()
+    _, wide = scored(spark, ws, rows)
+    _, narrow = scored(spark, ws, rows, filter_bits=1 << 12)
+    assert sorted((r["doc_id"], r["score"]) for r in wide) == sorted((r["doc_id"], r["score"]) for r in narrow)
+
+
+def test_buckets_know_every_entry():
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**32, 20_000).astype(np.uint64))
+    level = np.random.default_rng(4).geometric(0.4, len(keys))
+    for kind in (lm.WORD, lm.PAIR):
+        found = lm.bucket_filter(keys, level, kind).levels(keys, kind)
+        assert (found >= level).all() and (found == level).mean() > 0.9
+        other = np.arange(20_000, dtype=np.uint64) * np.uint64(7919)
+        other = other[~np.isin(other, keys)]
+        assert (lm.bucket_filter(keys, level, kind).levels(other, kind) < 0).mean() > 0.9
