@@ -2,13 +2,14 @@
 
 Symbols are merged by an agenda of candidate merges, best score first, ties from
 the left. With dropout, a candidate is skipped for good if a keyed hash of it is
-below ``alpha``: the hash knows the seed, the word, its variant and the places
-merged, so a run can be repeated on any cluster. Which of ``variants`` ways of
-dropping a word takes is a keyed hash of its document and place. Without dropout the ids
-are the library's own. Any segmentation decodes to the whole text.
+below ``alpha``: the hash knows the seed, the word, its document and place, and the
+places merged, so every occurrence drops on its own and a run can be repeated on any
+cluster. Without dropout the ids are the library's own. Any segmentation decodes to
+the whole text.
 
-Words with their leading spaces are segmented once for each piece of a table and
-variant, all at once as arrays; words over LOCKSTEP characters by a heap.
+Occurrences of a word, with its leading spaces, share their state until a candidate
+is skipped in some and merged in others, so work is done once for each distinct path
+in a piece of a table, all at once as arrays; words over LOCKSTEP characters by a heap.
 
 Null and empty texts have no ids. A U+2581 in a text, which the format uses for
 spaces, is written as bytes and so is not lost. Lone surrogates cannot be in a
@@ -32,9 +33,9 @@ from pagequarry.llm.words import gathered, mix, slices, span_hashes, text_bytes
 
 ALPHA = 0.1
 SEED = 1
-VARIANTS = 4
 ENCODED_BYTES = 4 << 20  # of text at once: words repeat
 LOCKSTEP = 32
+CHUNK = 100_000  # occurrences at once
 _SPACE = "▁"
 _NEVER = np.iinfo(np.int64).max
 
@@ -98,14 +99,15 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _dropped(key: np.ndarray, start, middle, end, alpha: float) -> np.ndarray:
-    """Is the merge of [start, middle) and [middle, end) skipped in the word of this key?"""
-    if alpha <= 0:
-        return np.zeros(np.broadcast_shapes(np.shape(key), np.shape(start)), bool)
+def _places(start, middle, end) -> np.ndarray:
+    """A hash of the merge of [start, middle) and [middle, end)."""
     a, b, c = (np.asarray(x).astype(np.uint64) for x in (start, middle, end))
-    places = mix(a * np.uint64(0x9E3779B97F4A7C15) + mix(b * np.uint64(0xC2B2AE3D27D4EB4F) + c))
-    h = mix(key ^ places)
-    return (h >> np.uint64(11)).astype(np.float64) < alpha * 2.0**53
+    return mix(a * np.uint64(0x9E3779B97F4A7C15) + mix(b * np.uint64(0xC2B2AE3D27D4EB4F) + c))
+
+
+def _dropped(keys: np.ndarray, places: np.ndarray, alpha: float) -> np.ndarray:
+    """Is the merge of these places skipped in the occurrences of these keys?"""
+    return (mix(keys ^ places) >> np.uint64(11)).astype(np.float64) < alpha * 2.0**53
 
 
 def segment_long(symbols: list[int], key: int, alpha: float, v: Vocabulary) -> list[tuple[int, int, int]]:
@@ -121,7 +123,7 @@ def segment_long(symbols: list[int], key: int, alpha: float, v: Vocabulary) -> l
         if j >= n or ids[i] < 0 or ids[j] < 0:
             return
         made = int(v.merge(np.array([ids[i]]), np.array([ids[j]]))[0])
-        if made >= 0 and not _dropped(word, [i], [j], [end[j]], alpha)[0]:
+        if made >= 0 and not _dropped(word, _places([i], [j], [end[j]]), alpha)[0]:
             heapq.heappush(heap, (int(v.rank[made]), i, j, end[j], made))
 
     for i in range(n - 1):
@@ -142,56 +144,80 @@ def segment_long(symbols: list[int], key: int, alpha: float, v: Vocabulary) -> l
 
 
 def segment(symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray, alpha: float, v: Vocabulary) -> np.ndarray:
-    """Ids [words, width] of words given as rows of symbols, -2 where there is none.
+    """Ids [words, width] of words given as rows of symbols, -2 where there is none."""
+    ids, _, path = segment_paths(symbols, sizes, np.arange(len(symbols)), keys, alpha, v)
+    return ids[path]
+
 
-    Symbols without a piece stay as -1. All words merge once in each round.
+def segment_paths(
+    symbols: np.ndarray, sizes: np.ndarray, words: np.ndarray, keys: np.ndarray, alpha: float, v: Vocabulary
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids [paths, width], word of each path, path of each occurrence).
+
+    Words are rows of symbols; ``words`` and ``keys`` have an entry for each occurrence.
+    Symbols without a piece stay as -1, and there is -2 where there is none. In each
+    round every path tries its best candidate; occurrences that skip it part from it.
     """
     n, width = symbols.shape
     ids = np.where(np.arange(width) < sizes[:, None], symbols, -2).astype(np.int64)
-    out = ids.copy()
     if width < 2:
-        return out
-    rows = np.arange(n)
-    start = np.broadcast_to(np.arange(width + 1), (n, width + 1)).copy()
-    start = np.minimum(start, sizes[:, None])
-    column = np.arange(width - 1)
+        return ids, np.arange(n), words
+    start = np.minimum(np.arange(width + 1), sizes[:, None])
+    column, symbol, edge = np.arange(width - 1), np.arange(width), np.arange(width + 1)
 
-    def offers(ids, start, keys, at):
+    def offers(ids, at):
         """(rank, piece) of the pairs at the places ``at`` of each row."""
         row = np.arange(len(ids))[:, None]
         made = v.merge(ids[row, at], ids[row, at + 1])
-        ok = made >= 0
-        if alpha > 0:
-            # `start` has the end of the last symbol too
-            ok &= ~_dropped(keys[:, None], start[row, at], start[row, at + 1], start[row, np.minimum(at + 2, width)], alpha)
-        return np.where(ok, v.rank[made], _NEVER), made
+        return np.where(made >= 0, v.rank[made], _NEVER), made
 
-    rank, made = offers(ids, start, keys, np.broadcast_to(column, (n, width - 1)))
-    while len(rows):
+    rank, made = offers(ids, np.broadcast_to(column, (n, width - 1)))
+    word, done, number = np.arange(n), [], 0
+    path = np.zeros(len(words), np.int64)
+    active, node = np.arange(len(words)), words  # open occurrences, and the row of each
+    while len(word):
         best = rank.argmin(axis=1)
-        here = np.arange(len(rows))
-        open_ = rank[here, best] < _NEVER
+        open_ = rank[np.arange(len(word)), best] < _NEVER
         if not open_.all():
-            out[rows[~open_]] = ids[~open_]
-            rows, ids, start, keys, rank, made, best = (x[open_] for x in (rows, ids, start, keys, rank, made, best))
-            here = np.arange(len(rows))
-            if not len(rows):
+            done.append((ids[~open_], word[~open_]))
+            goes = open_[node]
+            path[active[~goes]] = number + (np.cumsum(~open_) - 1)[node[~goes]]
+            number += len(done[-1][1])
+            active, node = active[goes], (np.cumsum(open_) - 1)[node[goes]]
+            word, ids, start, rank, made, best = (x[open_] for x in (word, ids, start, rank, made, best))
+            if not len(word):
                 break
-        ids[here, best] = made[here, best]
-        best = best[:, None]
-        symbol = np.arange(width)
-        ids = np.take_along_axis(ids, np.minimum(symbol + (symbol > best), width - 1), axis=1)
-        ids[:, -1] = -2
-        edge = np.arange(width + 1)
-        start = np.take_along_axis(start, np.minimum(edge + (edge > best), width), axis=1)
-        move = np.minimum(column + (column >= best), width - 2)
-        rank, made = np.take_along_axis(rank, move, axis=1), np.take_along_axis(made, move, axis=1)
-        rank[:, -1] = _NEVER
-        near = np.concatenate([np.maximum(best - 1, 0), np.minimum(best, width - 2)], axis=1)
-        r, m = offers(ids, start, keys, near)
-        np.put_along_axis(rank, near, r, axis=1)
-        np.put_along_axis(made, near, m, axis=1)
-    return out
+        here = np.arange(len(word))
+        child = node * 2
+        if alpha > 0:
+            places = _places(start[here, best], start[here, best + 1], start[here, np.minimum(best + 2, width)])
+            child += _dropped(keys[active], places[node], alpha)
+        taken = np.zeros(2 * len(word), bool)
+        taken[child] = True
+        node = (np.cumsum(taken) - 1)[child]
+        taken = np.flatnonzero(taken)
+        parent = taken >> 1
+        word, ids, start, rank, made, best = (x[parent] for x in (word, ids, start, rank, made, best))
+        skips = np.flatnonzero(taken & 1)
+        rank[skips, best[skips]] = _NEVER
+        some = np.flatnonzero(taken & 1 == 0)
+        at = best[some][:, None]
+        own = ids[some]
+        own[np.arange(len(some)), at[:, 0]] = made[some, at[:, 0]]
+        own = np.take_along_axis(own, np.minimum(symbol + (symbol > at), width - 1), axis=1)
+        own[:, -1] = -2
+        move = np.minimum(column + (column >= at), width - 2)
+        own_rank, own_made = np.take_along_axis(rank[some], move, axis=1), np.take_along_axis(made[some], move, axis=1)
+        own_rank[:, -1] = _NEVER
+        near = np.concatenate([np.maximum(at - 1, 0), np.minimum(at, width - 2)], axis=1)
+        r, m = offers(own, near)
+        np.put_along_axis(own_rank, near, r, axis=1)
+        np.put_along_axis(own_made, near, m, axis=1)
+        start[some] = np.take_along_axis(start[some], np.minimum(edge + (edge > at), width), axis=1)
+        ids[some], rank[some], made[some] = own, own_rank, own_made
+    if not done:
+        return ids, word, path
+    return np.concatenate([x for x, _ in done]), np.concatenate([x for _, x in done]), path
 
 
 def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -205,7 +231,7 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def encode_texts(
     data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, path: str,
-    alpha: float = ALPHA, seed: int = SEED, variants: int = VARIANTS,
+    alpha: float = ALPHA, seed: int = SEED,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in order, number of ids of each). ``docs`` is a 64-bit name of each text."""
     v = vocabulary(path)
@@ -218,11 +244,14 @@ def encode_texts(
     head = np.zeros(len(starts), bool)  # the first word of a text gets a space
     head[first[:-1][np.diff(first) > 0]] = True
     key = span_hashes(data, starts, ends) ^ np.where(head, np.uint64(0xD6E8FEB86659FD93), np.uint64(0))
+    keys, one, which = np.unique(key, return_index=True, return_inverse=True)
     if alpha > 0:
         place = (np.arange(len(starts)) - first[doc]).astype(np.uint64)
-        variant = mix(docs[doc] ^ mix(place + np.uint64(seed))) % np.uint64(variants)
-        key = mix(key ^ mix(variant + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)))
-    keys, one, which = np.unique(key, return_index=True, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        many = np.bincount(which, minlength=len(keys))
+        key = mix(key ^ mix(docs[doc] ^ mix(place + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))))
+    else:  # once for each word
+        order, many, key = np.arange(len(keys)), np.ones(len(keys), np.int64), keys
     texts = [
         (" " if h else "") + bytes(data[a:b]).decode("utf-8", "replace")
         for a, b, h in zip(starts[one].tolist(), ends[one].tolist(), head[one].tolist())
@@ -232,43 +261,53 @@ def encode_texts(
     symbols = v.characters[np.where(code == 0x20, 0x2581, np.where(code == 0x2581, 0xFFFF, code))]
     symbols[code == 0x2581] = -1
     at = np.cumsum(sizes) - sizes
-    made, counts = _segment_all(symbols, code, at, sizes, keys, alpha, v)
-    own = counts[which]
-    ids = spread(made, (np.cumsum(counts) - counts)[which], own)
+    made, counts, path = _segment_all(symbols, code, at, sizes, order, many, key, alpha, v)
+    if alpha <= 0:
+        path = path[which]
+    own = counts[path]
+    ids = spread(made, (np.cumsum(counts) - counts)[path], own)
     total = np.r_[0, np.cumsum(own)]
     return ids.astype(np.int32), np.diff(total[first])
 
 
-def _segment_all(symbols, code, at, sizes, keys, alpha, v) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, number of ids) of distinct words, in order; unknown characters become bytes."""
-    n = len(sizes)
-    counts = np.zeros(n, np.int64)
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, ids, ids of each word
-    low = 0
+def _segment_all(symbols, code, at, sizes, order, many, key, alpha, v) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all paths, number of ids of each, path of each occurrence).
+
+    ``order`` has the occurrences of each distinct word, ``many`` their number, and
+    ``key`` the key of each occurrence. Unknown characters become bytes.
+    """
+    begin = np.cumsum(many) - many
+    path = np.zeros(len(order), np.int64)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []  # ids, and number of ids of each path
+    number = low = 0
     for width in (2, 4, 6, 8, 10, 12, 16, 24, LOCKSTEP):
         some = np.flatnonzero((sizes > low) & (sizes <= width))
         low = width
-        for k in range(0, len(some), 50_000):
-            words = some[k : k + 50_000]
+        total = np.cumsum(many[some])
+        cuts = np.flatnonzero(np.diff(total // CHUNK)) + 1
+        for words in np.split(some, cuts) if len(some) else []:
             place = np.minimum(at[words][:, None] + np.arange(width), len(symbols) - 1)
-            ids = segment(symbols[place], sizes[words], keys[words], alpha, v)
+            whole = spread(order, begin[words], many[words])
+            row = np.repeat(np.arange(len(words)), many[words])
+            ids, word, found = segment_paths(symbols[place], sizes[words], row, key[whole], alpha, v)
             known = ids > -2
             flat, own = ids[known], known.sum(axis=1)
             if (flat == -1).any():
-                flat, own = _with_bytes(flat, own, words, symbols, code, at, sizes, v)
-            parts.append((words, flat, own))
+                flat, own = _with_bytes(flat, own, words[word], symbols, code, at, sizes, v)
+            parts.append((flat, own))
+            path[whole] = number + found
+            number += len(own)
     for word in np.flatnonzero(sizes > LOCKSTEP).tolist():
         a, b = int(at[word]), int(at[word] + sizes[word])
-        flat = np.array([x for x, _, _ in segment_long(symbols[a:b].tolist(), int(keys[word]), alpha, v)], np.int64)
-        own = np.array([len(flat)])
-        if (flat == -1).any():
-            flat, own = _with_bytes(flat, own, np.array([word]), symbols, code, at, sizes, v)
-        parts.append((np.array([word]), flat, own))
-    words = np.concatenate([p[0] for p in parts])
-    flat, own = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
-    counts[words] = own
-    order = np.argsort(words)
-    return spread(flat, (np.cumsum(own) - own)[order], own[order]), counts
+        for k in order[begin[word] : begin[word] + many[word]].tolist():
+            flat = np.array([x for x, _, _ in segment_long(symbols[a:b].tolist(), int(key[k]), alpha, v)], np.int64)
+            own = np.array([len(flat)])
+            if (flat == -1).any():
+                flat, own = _with_bytes(flat, own, np.array([word]), symbols, code, at, sizes, v)
+            parts.append((flat, own))
+            path[k] = number
+            number += 1
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), path
 
 
 def _with_bytes(flat, own, words, symbols, code, at, sizes, v) -> tuple[np.ndarray, np.ndarray]:
@@ -302,7 +341,7 @@ def names_of(ids: pa.Array) -> np.ndarray:
     return mix(numbers.astype(np.int64).view(np.uint64))
 
 
-def encode(docs: DataFrame, path: str, alpha: float = ALPHA, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """docs(doc_id, text, ...) with ``ids``, an array of int."""
     rest = [c for c in docs.columns if c != "ids"]
     schema = T.StructType([f for f in docs.schema.fields if f.name != "ids"]).add("ids", T.ArrayType(T.IntegerType()))
@@ -311,7 +350,7 @@ def encode(docs: DataFrame, path: str, alpha: float = ALPHA, seed: int = SEED, v
         for batch in gathered(batches, "text", ENCODED_BYTES):
             for part in slices(batch, "text", ENCODED_BYTES):
                 ids, counts = encode_texts(
-                    *text_bytes(part.column("text")), names_of(part.column("doc_id")), path, alpha, seed, variants
+                    *text_bytes(part.column("text")), names_of(part.column("doc_id")), path, alpha, seed
                 )
                 offsets = pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
                 column = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))

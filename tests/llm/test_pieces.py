@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -72,3 +74,24 @@ def test_frames(spark):
     assert len(back) == len(rows)
     assert all(r["text"] == (r["before"] or "") for r in back)
     assert pieces.encode(frame(spark, []), PATH).collect() == []
+
+
+def test_every_occurrence_drops_on_its_own():
+    """Many segmentations of one word, each that of a heap with the occurrence's own key."""
+    n = 3000
+    ids = encoded([" ".join(["international"] * n)], alpha=0.3)[0]
+    sp = SentencePieceProcessor(model_file=PATH)
+    ways = Counter(" ".join(sp.id_to_piece(ids.tolist())).split("▁")[1:])
+    assert sum(ways.values()) == n and len(ways) > 100
+    plain = sum(way.strip() == "international" for way in ways.elements()) / n
+    v = pieces.vocabulary(PATH)
+    symbols = v.characters[[ord(c) for c in "▁international"]]
+    keys = np.random.default_rng(5).integers(0, 2**63, n, dtype=np.uint64)
+    found, word, path = pieces.segment_paths(symbols[None, :], np.array([len(symbols)]), np.zeros(n, int), keys, 0.3, v)
+    assert len(found) < n and not word.any()
+    whole = 0
+    for key, p in zip(keys[:500].tolist(), path[:500]):
+        own = [x for x, _, _ in pieces.segment_long(symbols.tolist(), key, 0.3, v)]
+        assert found[p][found[p] > -2].tolist() == own
+        whole += len(own) == 1
+    assert abs(whole / 500 - plain) < 0.1
