@@ -64,12 +64,12 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: pieces of documents with the sequence and place they are packed in."""
+    """Operator 7: pieces of documents, with their ids and the sequence and place they are packed in."""
     small_batches(spark)
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.tokenize(docs, path, keep_ids=False)
+    pieces = packing.tokenize(docs, path)
     return packing.pack(pieces, Workspace(spark, "pipeline_packing"))
 
 

@@ -9,6 +9,7 @@ length, so that small ones are left to close the gaps.
 Groups of rows are packed on their own. Pieces of sequences that are not full go
 on to the next round, with fewer groups, until one group is left or a round fills
 few sequences; what a group holds is bounded, and only row counts reach the driver.
+Rounds see lengths only; ids and other columns are joined to their places at the end.
 
 Null and empty texts are a single end id. Repeated rows are packed each. Extra
 columns of ``pack``'s input are kept, but for sequence_id and offset.
@@ -117,26 +118,28 @@ def pack(
 ) -> DataFrame:
     """pieces(length, ...) with sequence_id and offset; each length is 1 to ``capacity``."""
     rest = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    left = ws.save(pieces.select(*rest), "pieces")
+    # a number of each stored row, since equal rows are packed each
+    whole = ws.save(pieces.select(*rest, F.monotonically_increasing_id().alias("_row")), "pieces")
+    left = whole.select("_row", "length")
     rows = left.count()
     done: list[DataFrame] = []
     for number in itertools.count():
         groups = max(1, -(-rows // group_rows))
-        made = ws.save(_packed(left, rest, groups, number, capacity), f"round_{number}")
-        left, before = made.where("NOT _full").select(*rest), rows
+        made = ws.save(_packed(left, groups, number, capacity), f"round_{number}")
+        left, before = made.where("NOT _full").select("_row", "length"), rows
         rows = left.count()
         # where most sequences cannot be filled, another round would not fill them either
         if groups == 1 or 2 * rows > before:
-            done.append(made.drop("_full"))
+            done.append(made)
             break
-        done.append(made.where("_full").drop("_full"))
+        done.append(made.where("_full"))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return whole.join(out.select("_row", "sequence_id", "offset"), "_row").select(*rest, "sequence_id", "offset")
 
 
-def _packed(left: DataFrame, rest: list[str], groups: int, number: int, capacity: int) -> DataFrame:
+def _packed(left: DataFrame, groups: int, number: int, capacity: int) -> DataFrame:
     schema = T.StructType([*left.schema.fields]).add("sequence_id", "long").add("offset", "long").add("_full", "boolean")
 
     def place(key: tuple, group: pa.Table) -> pa.Table:
@@ -144,13 +147,13 @@ def _packed(left: DataFrame, rest: list[str], groups: int, number: int, capacity
         sequence, offset, fills = sum_of_squares(lengths, capacity)
         base = (number << 56) + (key[0].as_py() << 24)
         return (
-            group.select(rest)
+            group.select(["_row", "length"])
             .append_column("sequence_id", pa.array(base + sequence, pa.int64()))
             .append_column("offset", pa.array(offset, pa.int64()))
             .append_column("_full", pa.array(fills[sequence] == capacity))
         )
 
-    # by the row's place in the stored table, so that equal rows are dealt out too
-    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int")
-    dealt = left.select(*rest, group.alias("_group"))
+    # each round deals anew
+    group = F.pmod(F.xxhash64("_row", F.lit(number)), F.lit(groups)).cast("int")
+    dealt = left.select("_row", "length", group.alias("_group"))
     return dealt.groupBy("_group").applyInArrow(place, schema)

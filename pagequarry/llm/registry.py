@@ -122,13 +122,16 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as byte-level BPE ids in sequences of 2048 tokens."""
+    """All documents as byte-level BPE ids in sequences of 2048 tokens; digests are of the packed ids."""
     import public_tokenizers
 
     ws = Workspace(spark, "packing")
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.tokenize(documents(spark, sf_dir), path, keep_ids=False)
-    return packing.pack(pieces, ws)
+    pieces = packing.tokenize(documents(spark, sf_dir), path)
+    packed = packing.pack(pieces.drop("ids_crc32"), ws)
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -88,6 +89,16 @@ def test_all_tokens_are_packed(stages):
         assert at <= 2048
 
 
+def test_packed_pieces_hold_the_texts(stages):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    made = {}
+    for r in sorted(stages["packing"], key=lambda r: r["piece"]):
+        made[r["doc_id"]] = made.get(r["doc_id"], b"") + bytes(r["ids"])
+    for r in stages["secrets"]:
+        want = [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 0]
+        assert np.frombuffer(made[r["doc_id"]], "<u4").tolist() == want
+
+
 def test_run_is_the_stages_in_turn(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "substrings", "secrets", "packing"]
     rows = corpus_pipeline.run(spark, SF).collect()
