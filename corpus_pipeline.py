@@ -18,16 +18,13 @@ from pagequarry.llm.ranges import small_batches
 from pagequarry.operators.spread import spread_join
 from pagequarry.session import Workspace
 
-MAIN_LANGUAGE = 0.5  # least share of a document's main language
-
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: documents without a known language, or without a main one, go."""
+    """Operator 2: documents without a known language go; mixtures of known ones stay."""
     small_batches(spark)
     model = languages.learn(docs.select("text", "lang"))
     found = languages.identify(docs, model)
-    known = (F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)
-    return found.where(known).select(*docs.columns)
+    return found.where(F.col("lang_pred") != languages.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,3 +111,11 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_mixtures_of_known_languages_stay(spark):
+    words = {"x": "alba", "y": "gorn", "z": "tifs"}
+    rows = [(k, f"{w} {w}en {w}or " * 30, c, "s", 1) for k, (c, w) in enumerate([*words.items()] * 5)]
+    mixed = (100, " ".join(f"{w} {w}en {w}or " * 10 for w in words.values()), None, "s", 1)
+    docs = frame(spark, [*rows, mixed, (101, "q", None, "s", 1)])
+    assert {r["doc_id"] for r in corpus_pipeline.by_language(spark, docs, SF).collect()} == {r[0] for r in rows} | {100, 101}
