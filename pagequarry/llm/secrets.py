@@ -150,7 +150,7 @@ def find_spans(
     extra = [
         span
         for span in markov_spans(text, ratio, threshold)
-        if not any(start < span[2] and span[0] < end for start, _, end in base)
+        if not any(start <= span[0] and span[2] <= end for start, _, end in base)
     ]
     return sorted(base + extra)
 
