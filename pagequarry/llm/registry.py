@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm import fingerprints as fp
 import corpus_pipeline
-from pagequarry.llm import caps, languages, lm, minhash, packing, pieces, repeats, secrets, warc
+from pagequarry.llm import caps, languages, lm, minhash, packing, pieces, quality, repeats, secrets, variants, warc
+from pagequarry.llm import whitening
 from pagequarry.llm.ranges import small_batches
 from pagequarry.llm.words import gathered, slices, text_bytes
 from pagequarry.session import Workspace
@@ -192,6 +193,27 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(vectors, Workspace(spark, "caps"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels of the four fifths that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", (remainder(5) == 0).alias("held_out"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(5) != 0)
+    labels = labels.select("doc_id", F.col("quality").alias("label"))
+    field = quality.train(docs.where("NOT held_out"), labels, Workspace(spark, "quality"))
+    return quality.score(docs, field).drop("text")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 leading components, with unit variance."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.whitened(vectors, Workspace(spark, "whitening"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, a keyed 31st of them misspelt, with their commonest neighbours."""
+    ws = Workspace(spark, "variants")
+    return variants.spelling_variants(documents(spark, sf_dir), ws, one_in=31)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_language_id": op2_language_id,
@@ -203,6 +225,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_warc": op9_warc,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_quality": op11_quality,
+    "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
