@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx
-from pagequarry.session import read_if_present
+from pagequarry.operators import segments as sg
+from pagequarry.operators.spread import spread_join
 
 BUCKETS = 32
 
@@ -44,7 +45,7 @@ def stored_documents(docs: DataFrame) -> DataFrame:
         "url",
         "content",
         tx.snippet(F.col("content")).alias("snippet"),
-        F.size(tx.index_terms(F.col("content"))).alias("doc_len"),
+        F.coalesce(F.size(tx.index_terms(F.col("content"))), F.lit(0)).alias("doc_len"),
     )
 
 
@@ -84,6 +85,22 @@ def merge_term_statistics(parts: DataFrame) -> DataFrame:
     )
 
 
+def unique_documents(docs: DataFrame) -> DataFrame:
+    """One row for each id: of several the least by content, then URL; rows without an id are left out.
+
+    Only ids are grouped, and only rows with a repeated id meet.
+    """
+    docs = docs.where(F.col("doc_id").isNotNull())
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if again.limit(1).count() == 0:
+        return docs
+    once = spread_join(docs, again, ["doc_id"], "left_anti", spread_on=["content"])
+    row = F.min(F.struct("content", "url")).alias("_row")
+    rest = spread_join(docs, again, ["doc_id"], "left_semi", spread_on=["content"])
+    rest = rest.groupBy("doc_id").agg(row).select("doc_id", "_row.url", "_row.content")
+    return once.select("doc_id", "url", "content").unionByName(rest)
+
+
 def corpus_statistics(stored: DataFrame) -> DataFrame:
     return stored.agg(
         F.count(F.lit(1)).alias("n_docs"),
@@ -93,57 +110,78 @@ def corpus_statistics(stored: DataFrame) -> DataFrame:
 
 def build(docs: DataFrame) -> Index:
     """Q6 without storing: ``docs(doc_id, url, content)`` to an index."""
+    docs = unique_documents(docs)
     postings = make_postings(docs)
     stored = stored_documents(docs)
     return Index(stored, postings, term_statistics(postings), corpus_statistics(stored))
 
 
-def write(docs: DataFrame, path: str, segment: str = "base") -> None:
-    """Store an index, or add a segment to one.
+def _schemas(id_type: str) -> dict[str, str]:
+    return {
+        "docs": f"doc_id {id_type}, url string, content string, snippet string, doc_len int",
+        "postings": f"term string, doc_id {id_type}, tf long, doc_len int, bucket int",
+        "terms": "term string, df long, max_tf long, min_len int",
+        "stats": "n_docs long, total_len long",
+    }
 
-    Postings are range-sorted by bucket, term and document: a frequent term
-    runs over many files instead of one, and a search reads only the buckets
-    and row groups of its terms. ``stats`` is written last; a segment without
-    it does not count. Writing a segment again replaces it, so a repeated
-    attempt adds nothing twice.
-    """
-    spark = docs.sparkSession
+
+def _put_all(postings: DataFrame, stored: DataFrame, path: str, folder: str) -> sg.Segment:
+    """Store the four tables of a new segment, which counts once it is in the manifest."""
+    spark = postings.sparkSession
 
     def put(df: DataFrame, table: str, *partition: str) -> DataFrame:
-        target = f"{path}/{table}/segment={segment}"
+        target = f"{path}/{table}/segment={folder}"
         df.write.mode("overwrite").partitionBy(*partition).parquet(target)
         return spark.read.schema(df.schema).parquet(target)
 
     order = ["bucket", "term", "doc_id"]
-    postings = make_postings(docs)
-    stored = put(
-        postings.repartitionByRange(*order).sortWithinPartitions(*order), "postings", "bucket"
-    )
-    put(term_statistics(stored), "terms")
-    put(corpus_statistics(put(stored_documents(docs), "docs")), "stats")
+    kept = put(postings.repartitionByRange(*order).sortWithinPartitions(*order), "postings", "bucket")
+    put(term_statistics(kept), "terms")
+    stats = put(corpus_statistics(put(stored, "docs")), "stats").first()
+    return sg.Segment(folder, folder, stats["n_docs"], stats["total_len"])
 
 
-def _segments(spark: SparkSession, path: str) -> list[str]:
-    """Complete segments; one row each."""
-    stats = read_if_present(spark, f"{path}/stats")
-    return [] if stats is None else [row["segment"] for row in stats.select("segment").collect()]
+def write(docs: DataFrame, path: str, segment: str = "base") -> None:
+    """Store an index, or add a segment to one.
+
+    Postings are range-sorted by bucket, term and document: a frequent term
+    runs over many files instead of one, and a search reads only the buckets
+    and row groups of its terms. The segment counts once the manifest names it.
+    Writing a segment again replaces it, so a repeated attempt adds nothing twice.
+    Of several documents with one id the least by content is kept.
+    """
+    docs = unique_documents(docs)
+    _commit_new(docs, path, segment, sg.read_manifest(docs.sparkSession, path))
+
+
+def _commit_new(docs: DataFrame, path: str, name: str, manifest: sg.Manifest) -> None:
+    made = _put_all(make_postings(docs), stored_documents(docs), path, sg.new_folder(name))
+    others = [s for s in manifest.live if s.name != name]
+    if made.n_docs or not others:
+        others.append(made._replace(name=name))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    sg.commit(docs.sparkSession, path, manifest.version + 1, others, id_type)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Read a stored index with all its complete segments."""
-    segments = _segments(spark, path)
+    """Read a stored index with all its live segments."""
+    manifest = sg.read_manifest(spark, path)
+    return _open(spark, path, manifest, manifest.live)
 
-    def table(name: str, *columns: str) -> DataFrame:
-        stored = spark.read.parquet(f"{path}/{name}")
-        return stored.where(F.col("segment").isin(segments)).select(*columns)
 
-    terms = table("terms", "term", "df", "max_tf", "min_len")
+def _open(spark: SparkSession, path: str, manifest: sg.Manifest, live: list[sg.Segment]) -> Index:
+    tables = {
+        name: sg.read_segments(spark, f"{path}/{name}", schema, [s.folder for s in live])
+        for name, schema in _schemas(manifest.id_type).items()
+    }
+    terms = tables["terms"].select("term", "df", "max_tf", "min_len")
     return Index(
-        docs=table("docs", "doc_id", "url", "content", "snippet", "doc_len"),
-        postings=table("postings", "bucket", "term", "doc_id", "tf", "doc_len"),
-        terms=terms if len(segments) == 1 else merge_term_statistics(terms),
-        stats=table("stats", "n_docs", "total_len").agg(
-            F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len")
+        docs=tables["docs"].select("doc_id", "url", "content", "snippet", "doc_len"),
+        postings=tables["postings"].select("bucket", "term", "doc_id", "tf", "doc_len"),
+        terms=terms if len(live) == 1 else merge_term_statistics(terms),
+        stats=tables["stats"].agg(
+            F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"),
+            F.coalesce(F.sum("total_len"), F.lit(0)).alias("total_len"),
         ),
     )
 
@@ -152,15 +190,38 @@ def append(docs: DataFrame, path: str, segment: str) -> None:
     """Q7: index the documents whose id is not stored yet (J8), as a new segment.
 
     Stored documents keep their content. The segment's own earlier attempt
-    does not count as stored, so an interrupted append can be run again. Of
+    does not count as stored, so an interrupted append can be run again; once merged
+    into another segment, its documents are stored and are not added again. Of
     several new documents with one id, the least by content wins.
     """
     spark = docs.sparkSession
-    others = [name for name in _segments(spark, path) if name != segment]
-    fresh = docs
+    manifest = sg.read_manifest(spark, path)
+    others = [s for s in manifest.live if s.name != segment]
     if others:
-        stored = spark.read.parquet(f"{path}/docs").where(F.col("segment").isin(others))
-        fresh = docs.join(stored.select("doc_id"), "doc_id", "left_anti")
-    row = F.min(F.struct("content", "url")).alias("_row")
-    fresh = fresh.groupBy("doc_id").agg(row)
-    write(fresh.select("doc_id", "_row.url", "_row.content"), path, segment)
+        stored = _open(spark, path, manifest, others).docs
+        docs = docs.join(stored.select("doc_id"), "doc_id", "left_anti")
+    _commit_new(unique_documents(docs), path, segment, manifest)
+
+
+def merge_segments(spark: SparkSession, path: str) -> int:
+    """Q7: merge segments of like size, so that at most about log2 of their number are live.
+
+    Merged segments are rewritten as a new one, and one manifest row puts it in their place. A merge
+    that is stopped before that row changes nothing; its files are dropped by :func:`vacuum`, as
+    are the old segments, which readers that opened the index before may still use. Returns the
+    number of live segments.
+    """
+    manifest = sg.read_manifest(spark, path)
+    chosen = sg.alike(manifest.live)
+    if len(chosen) < 2:
+        return len(manifest.live)
+    part = _open(spark, path, manifest, chosen)
+    made = _put_all(part.postings, part.docs, path, sg.new_folder("merged"))
+    left = [s for s in manifest.live if s not in chosen] + [made]
+    sg.commit(spark, path, manifest.version + 1, left, manifest.id_type)
+    return len(left)
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Delete stored segments that none of the ``keep`` newest manifest rows names; their folders."""
+    return sg.vacuum(spark, path, list(_schemas("long")), keep)

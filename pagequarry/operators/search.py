@@ -78,7 +78,7 @@ def _weighted_terms(terms: DataFrame, index: Index, size: BatchSize) -> DataFram
     wanted = terms.select("term").distinct()
     found = spread_join(index.terms, wanted, ["term"], "left_semi", small_bytes=size.term_bytes)
     n_docs = index.stats.select("n_docs").scalar()
-    avg_len = index.stats.select(F.col("total_len") / F.col("n_docs")).scalar()
+    avg_len = index.stats.select(F.try_divide("total_len", "n_docs")).scalar()
     weighted = found.select(
         "term",
         scoring.idf(n_docs, F.col("df")).alias("idf"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
@@ -61,6 +62,23 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
+    def close(self) -> None:
+        """Delete all tables; frames that read them can no longer be used."""
+        empty_folder(self.spark, self.root)
+
+    def __enter__(self) -> "Workspace":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+
+def empty_folder(spark: SparkSession, path: str) -> None:
+    """Delete everything below a folder, by writing no rows over it; works on any storage Spark writes to."""
+    # a partitioned write leaves no file where there are no rows
+    nothing = spark.range(0).selectExpr("id", "id AS part").write.mode("overwrite")
+    nothing.option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
+
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None if nothing is stored there."""

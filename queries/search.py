@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import scoring, text as tx
 from pagequarry.functions.fixed import HITS_PER_PAGE, HITS_PER_QUERY
-from pagequarry.operators import index as ix, search as se
+from pagequarry.operators import blocks as bl, index as ix, search as se
 from pagequarry.plans.site_search import build_site, two_panel_page
 from pagequarry.session import Workspace
 from pagequarry.sources.pages import append_errors
@@ -38,7 +38,7 @@ def index_terms(spark, sf_dir):
     """M3: term statistics with the greatest score a document can get."""
     index = document_index(spark, sf_dir)
     n_docs = index.stats.select("n_docs").scalar()
-    avg_len = index.stats.select(F.col("total_len") / F.col("n_docs")).scalar()
+    avg_len = index.stats.select(F.try_divide("total_len", "n_docs")).scalar()
     best = scoring.bm25(
         scoring.idf(n_docs, F.col("df")), F.col("max_tf"), F.col("min_len"), avg_len
     )
@@ -105,6 +105,37 @@ def rank_only_search(spark, sf_dir):
     )
 
 
+def _ranked_index(spark, sf_dir):
+    """The documents' index in order of rank, written once per session."""
+    def build(path):
+        bl.write(document_index(spark, sf_dir), _ranked_documents(spark, sf_dir), path)
+
+    return bl.open_index(spark, stored_once(spark, sf_dir, "ranked_index", build))
+
+
+def pruned_search(spark, sf_dir):
+    """M3: the results of blended_search, from the blocks whose bounds reach the k best."""
+    batch = benchmark_queries(spark, sf_dir)
+    return _shown(bl.retrieve(batch, _ranked_index(spark, sf_dir), Workspace(spark, "pruned")))
+
+
+def pruned_search_all_terms(spark, sf_dir):
+    batch = benchmark_queries(spark, sf_dir)
+    return _shown(bl.retrieve(batch, _ranked_index(spark, sf_dir), Workspace(spark, "pruned"), mode="all"))
+
+
+def rank_ordered_search(spark, sf_dir):
+    """L2: the results of rank_only_search, from an index in order of rank."""
+    return bl.search_by_rank(
+        benchmark_queries(spark, sf_dir), _ranked_index(spark, sf_dir), Workspace(spark, "by_rank")
+    )
+
+
+def ranked_documents_order(spark, sf_dir):
+    """The rank stored with each document, and its place among all."""
+    return _ranked_index(spark, sf_dir).docs.select("number", "doc_id", "rank", "doc_len")
+
+
 def document_ranks(spark, sf_dir):
     return _ranked_documents(spark, sf_dir)
 
@@ -168,6 +199,17 @@ def index_append(spark, sf_dir):
     return ix.open_index(spark, path).terms
 
 
+def index_merged(spark, sf_dir):
+    """Q7: five batches, segments of like size merged after each, unused files deleted."""
+    docs = documents(spark, sf_dir)
+    path = Workspace(spark, "merged").path("index")
+    for k in range(5):
+        ix.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == k), path, f"batch{k}")
+        ix.merge_segments(spark, path)
+    ix.vacuum(spark, path)
+    return ix.open_index(spark, path).terms
+
+
 def stream_index(spark, sf_dir):
     """The documents as a stream of files, a few at a time."""
     ws = Workspace(spark, "stream")
@@ -196,6 +238,10 @@ QUERIES = {
     "blended_search_all_terms": blended_search_all_terms,
     "blended_search_rank_once": blended_search_rank_once,
     "rank_only_search": rank_only_search,
+    "pruned_search": pruned_search,
+    "pruned_search_all_terms": pruned_search_all_terms,
+    "rank_ordered_search": rank_ordered_search,
+    "ranked_documents_order": ranked_documents_order,
     "document_ranks": document_ranks,
     "ranked_index": ranked_index,
     "rank_quarantine": rank_quarantine,
@@ -204,6 +250,7 @@ QUERIES = {
     "two_panel_page": two_panels,
     "site_search": site_search,
     "index_append": index_append,
+    "index_merged": index_merged,
     "stream_index": stream_index,
 }
 
@@ -240,6 +287,14 @@ FROM terms CROSS JOIN stats""",
     "rank_only_search": _search(
         sql.BM25, "n_matched = n_terms", "rank DESC", HITS_PER_PAGE, "rank"
     ),
+    "pruned_search": _search(sql.BLEND),
+    "pruned_search_all_terms": _search(sql.BLEND, "n_matched = n_terms"),
+    "rank_ordered_search": _search(sql.BM25, "n_matched = n_terms", "rank DESC", HITS_PER_PAGE, "rank"),
+    "ranked_documents_order": f"""
+WITH {_DOC_INDEX}, {sql.LABEL_RANKS}
+SELECT row_number() OVER (ORDER BY coalesce(rank, 0.0) DESC, doc_id) - 1 AS number, doc_id,
+  coalesce(rank, 0.0)::DOUBLE AS rank, doc_len::INT AS doc_len
+FROM docs JOIN lens USING (doc_id) LEFT JOIN ranks USING (doc_id)""",
     "document_ranks": f"""
 WITH {sql.LABEL_RANKS}
 SELECT doc_id, coalesce(rank, 0.0)::DOUBLE AS rank FROM documents LEFT JOIN ranks USING (doc_id)""",
@@ -276,6 +331,8 @@ docs AS (
 SELECT query_id, rank_no, doc_id, url, content[1:200] AS snippet, round(score + 2e-10, 6) AS score, n_hits
 FROM hits JOIN docs USING (doc_id)""",
     "index_append": f"""
+WITH {_DOC_INDEX} SELECT term, df, max_tf, min_len::INT AS min_len FROM terms""",
+    "index_merged": f"""
 WITH {_DOC_INDEX} SELECT term, df, max_tf, min_len::INT AS min_len FROM terms""",
     "stream_index": f"WITH {_DOC_INDEX} SELECT term, doc_id, tf, doc_len::INT AS doc_len FROM post",
 }

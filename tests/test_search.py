@@ -4,13 +4,14 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.functions import scoring
 from pagequarry.functions.fixed import INDEX_STOP_WORDS
-from pagequarry.operators import index as ix, search as se, spread as sp
+from pagequarry.operators import index as ix, search as se, segments as sg, spread as sp
 from pagequarry.plans.site_search import build_site, two_panel_page
 from pagequarry.session import Workspace
 from pagequarry.streaming.indexing import index_stream
@@ -171,13 +172,90 @@ def test_unfinished_segment_does_not_count(spark, inputs, ws):
     path = ws.path("index")
     ix.write(inputs[0].where("doc_id < 10"), path, "good")
     ix.write(inputs[0].where("doc_id >= 10"), ws.path("other"), "broken")
-    for table in ("docs", "postings", "terms"):  # everything but stats, which is written last
-        stored = spark.read.parquet(f"{ws.path('other')}/{table}/segment=broken")
+    for table in ("docs", "postings", "terms", "stats"):  # all but the manifest's row
+        (stored,) = [p for p in (Path(ws.path("other")) / table).iterdir() if p.name.startswith("segment=")]
         parts = ["bucket"] if table == "postings" else []
-        stored.write.partitionBy(*parts).parquet(f"{path}/{table}/segment=broken")
+        spark.read.parquet(str(stored)).write.partitionBy(*parts).parquet(f"{path}/{table}/segment=broken")
     index = ix.open_index(spark, path)
     assert index.docs.count() == 10
     assert index.postings.select(F.max("doc_id")).first()[0] < 10
+    assert ix.vacuum(spark, path) == ["broken"] and ix.vacuum(spark, path) == []
+    assert ix.open_index(spark, path).docs.count() == 10
+
+
+def same_index(got, full):
+    for name in ("docs", "postings", "terms", "stats"):
+        mine, theirs = getattr(got, name), getattr(full, name)
+        assert sorted(mine.select(theirs.columns).collect()) == sorted(theirs.collect())
+
+
+def test_segments_to_merge():
+    def sizes(*n):
+        return [s.n_docs for s in sg.alike([sg.Segment(f"f{k}", "s", x, 0) for k, x in enumerate(n)])]
+
+    assert sizes() == sizes(5) == sizes(1, 2, 4) == sizes(8, 3, 1) == []
+    assert sizes(1, 1) == [1, 1] and sizes(4, 2, 1, 1) == [1, 1, 2, 4] and sizes(100, 1, 1) == [1, 1]
+    live = []
+    for k in range(1000):  # batches of any size
+        live.append(sg.Segment(f"n{k}", "s", 1 + k * 7919 % 13, 0))
+        merged = sg.alike(live)
+        if merged:
+            live = [s for s in live if s not in merged] + [sg.Segment(f"m{k}", "s", sum(s.n_docs for s in merged), 0)]
+        assert len(live) <= math.log2(sum(s.n_docs for s in live)) + 1
+
+
+def test_merging_keeps_the_index_and_bounds_its_segments(spark, inputs, ws):
+    docs, queries, ranks, full = inputs
+    path = ws.path("index")
+    for k in range(7):
+        ix.append(docs.where(f"doc_id % 7 <= {k}"), path, f"s{k}")
+        assert ix.merge_segments(spark, path) <= 3
+    opened = ix.open_index(spark, path)  # before the old segments are dropped
+    same_index(opened, full)
+    assert len(ix.vacuum(spark, path)) >= 4
+    same_index(ix.open_index(spark, path), full)
+    ix.append(docs, path, "s3")  # a repeated batch whose segment was merged
+    same_index(ix.open_index(spark, path), full)
+
+
+def test_a_stopped_merge_changes_nothing(spark, inputs, ws, monkeypatch):
+    docs, full = inputs[0], inputs[3]
+    path = ws.path("index")
+    for k in range(3):
+        ix.append(docs.where(f"doc_id % 3 <= {k}"), path, f"s{k}")
+    before = sg.read_manifest(spark, path)
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    for step in ("commit", "corpus_statistics"):
+        with monkeypatch.context() as patch:
+            patch.setattr(sg if step == "commit" else ix, step, stopped)
+            with pytest.raises(RuntimeError):
+                ix.merge_segments(spark, path)
+        assert sg.read_manifest(spark, path) == before
+        same_index(ix.open_index(spark, path), full)
+    assert len(ix.vacuum(spark, path)) == 2  # what the stopped merges left
+    assert ix.merge_segments(spark, path) == 1
+    same_index(ix.open_index(spark, path), full)
+
+
+def test_empty_index_and_repeated_ids(spark, inputs, ws):
+    docs, queries, ranks, _ = inputs
+    ix.write(docs.where("false"), ws.path("empty"))
+    index = ix.open_index(spark, ws.path("empty"))
+    assert index.docs.count() == index.terms.count() == 0 and index.stats.first() == (0, 0)
+    assert se.retrieve(queries, index, ranks).collect() == []
+    assert ix.open_index(spark, ws.path("nothing")).docs.count() == 0
+    ix.append(docs.where("doc_id < 5"), ws.path("empty"), "later")
+    assert ix.open_index(spark, ws.path("empty")).docs.count() == 5
+    rows = [("1", "u", "beta beta"), ("1", "u", "alpha gamma"), ("2", "v", None), (None, "w", "no id")]
+    odd = spark.createDataFrame(rows, "doc_id string, url string, content string")
+    ix.write(odd, ws.path("odd"))
+    for index in (ix.open_index(spark, ws.path("odd")), ix.build(odd)):
+        assert index.stats.first() == (2, 2)
+        assert sorted((r.doc_id, r.doc_len) for r in index.docs.collect()) == [("1", 2), ("2", 0)]
+        assert sorted(r.term for r in index.terms.collect()) == ["alpha", "gamma"]
 
 
 def test_stream_equals_batch_and_resumes(spark, inputs, ws):
