@@ -10,9 +10,15 @@ than NEED values of two full sketches but for a chance below 1e-9, and at least
 three quarters of a smaller set; so each class is listed only under its rarest
 values, as many as leave fewer than that out, and a class that shares too few
 values is out. No pair of documents is ever made. Each class lives in one block,
-a bounded part of its largest list; two blocks that meet in a list are a cell,
-and a cell's sets are compared at once, as matrix products. A cell gives no more
-links than connect what it found. Lists of any length are compared whole.
+a bounded part of its largest list. Two blocks that meet in a list can be a cell, whose
+sets are compared at once, as matrix products; a cell gives no more links than
+connect what it found.
+
+Only components are asked for, so cells are compared in two rounds. In the first, each block meets
+itself and the first block of each of its lists. In the second, only lists whose other blocks hold
+sets of more than one component are left, and there the sets outside the largest component meet all
+others: a large group of near copies, once connected, is not compared again. Every two sets of a
+list that could join two components are compared, whatever the list's length.
 
 Null and empty texts have an empty set and link with nothing. Repeated rows, and
 rows that share an id, are one document's. Only counts reach the driver.
@@ -59,6 +65,14 @@ def needed(n: np.ndarray, k: int = K, need: int = NEED) -> np.ndarray:
     return np.where(n <= k * THRESHOLD // 100, -(-n * THRESHOLD // 100), need)
 
 
+def _digest(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size of each set, and a sum and an xor of mixed values that stand for the whole set."""
+    n = np.array([len(s) for s in sets], np.int64)
+    one = np.array([s.sum() for s in sets], np.uint64)
+    two = np.array([np.bitwise_xor.reduce(mix(s + np.uint64(1))) if len(s) else 0 for s in sets], np.uint64)
+    return n, one.view(np.int64), two.view(np.int64)
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n, two hashes of the whole set, and the sketch as binary."""
 
@@ -66,17 +80,14 @@ def _sketches(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"))
-                n = np.array([len(s) for s in sets], np.int64)
-                # sums and xors of mixed values stand for the whole set
-                one = np.array([s.sum() for s in sets], np.uint64)
-                two = np.array([np.bitwise_xor.reduce(mix(s + np.uint64(1))) if len(s) else 0 for s in sets], np.uint64)
+                n, one, two = _digest(sets)
                 low = [s[:K] for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").cast(pa.int64()),
                         pa.array(n),
-                        pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int64)),
+                        pa.array(one),
+                        pa.array(two),
                         binary_column(np.concatenate(low), np.minimum(n, K)),
                     ],
                     names=["doc_id", "n", "one", "two", "sketch"],
@@ -86,6 +97,20 @@ def _sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, schema)
 
 
+_ROW_KEY = "doc_id long, n_shingles long, one long, two long, row "
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n_shingles, one, two, row) of rows (doc_id, row, text)."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            n, one, two = _digest(shingle_sets(part.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(one), pa.array(two), part.column("row")],
+                names=["doc_id", "n_shingles", "one", "two", "row"],
+            )
+
+
 def _values(nodes: DataFrame) -> DataFrame:
     """(value, rep, n): a row for each value of each sketch."""
 
@@ -156,9 +181,69 @@ def _compare(cells: DataFrame) -> DataFrame:
     return cells.select("cell", "side", "rep", "members").mapInArrow(links, "a long, b long")
 
 
+def _pair(one: str, two: str) -> list:
+    return [F.least(one, two).alias("block"), F.greatest(one, two).alias("other")]
+
+
+def _cell_links(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """links(a, b) of cells(block, other), each compared whole, from sets(rep, block, members)."""
+    cell = F.xxhash64("block", "other").alias("cell")
+    sides = cells.select(cell, "block", F.lit(0).alias("side")).unionByName(
+        cells.where("block <> other").select(cell, F.col("other").alias("block"), F.lit(1).alias("side"))
+    )
+    wanted = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sides.join(sets, "block").select("cell", "side", "rep", "members")
+    return _compare(dealt.repartition(wanted, "cell").sortWithinPartitions("cell", "side", "rep"))
+
+
+def _second_round(rest: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(cells, blocks of sets) from rest(value, rep, n, block, odd).
+
+    Sets that are odd in a list, outside its largest component, move to blocks of their own, and
+    only these meet the list's other blocks.
+    """
+    odd = rest.where("odd")
+    weights = odd.groupBy("value").agg(F.sum(F.col("n") + 300).alias("weight"))
+    home = odd.join(weights, "value").groupBy("rep").agg(F.max(F.struct("weight", "value")).alias("home"))
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("home.weight") / BLOCK_SHINGLES))
+    moved = home.select("rep", F.xxhash64(F.lit("odd"), "home.value", part).alias("own"))
+    placed = rest.join(moved, "rep", "left")
+    placed = ws.save(placed.select("value", "rep", "odd", F.coalesce("own", "block").alias("block")), "placed")
+    odd_blocks = placed.where("odd").select("value", F.col("block").alias("one")).distinct()
+    pairs = placed.select("value", "block").distinct().join(odd_blocks, "value")
+    cells = ws.save(pairs.select(*_pair("one", "block")).distinct(), "cells_second")
+    return cells, placed.select("rep", "block").distinct()
+
+
 def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     """Of docs(doc_id, text): doc_id, n_shingles, class_id (least id with the same set),
     component_id, kept."""
+    return _named(docs, ws).drop("one", "two")
+
+
+def kept_documents(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """One document of each group of near-duplicates: that with the least id.
+
+    Rows that share an id are judged each by its own text: of those in one group the
+    least row stays, by text, then the other columns. Rows without an id stay.
+    """
+    found = ws.save(_named(docs, ws).select("doc_id", "n_shingles", "one", "two", "component_id", "kept"), "named")
+    again = ws.save(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    out = ws.save(found.where("NOT kept").select("doc_id").unionByName(again).distinct(), "apart")
+    single = spread_join(docs, out, ["doc_id"], "left_anti", spread_on=["text"])
+    if again.isEmpty():
+        return single
+    repeated = spread_join(docs, again, ["doc_id"], "left_semi", spread_on=["text"])
+    key = ["doc_id", "n_shingles", "one", "two"]
+    rows = repeated.select("doc_id", F.struct("text", *[c for c in docs.columns if c != "text"]).alias("row"), "text")
+    rows = rows.mapInArrow(_digested, _ROW_KEY + rows.schema["row"].dataType.simpleString())
+    judged = rows.join(found.where("kept").select(*key, "component_id").distinct(), key)
+    # an empty set is in no group
+    least = judged.groupBy("doc_id", "component_id", F.col("n_shingles") > 0).agg(F.min("row").alias("row"))
+    return single.unionByName(least.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
+
+
+def _named(docs: DataFrame, ws: Workspace) -> DataFrame:
     spark = docs.sparkSession
     sketches = ws.save(_sketches(docs), "sketches")
     key = ["n", "one", "two"]
@@ -195,9 +280,13 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     parts = F.ceil(F.col("home.weight") / BLOCK_SHINGLES)
     block = F.xxhash64("home.value", F.pmod(F.xxhash64("rep"), parts))
     blocks = ws.save(home.select("rep", block.alias("block")), "blocks")
-    met = ws.save(listed.join(lists, "value", "left_semi").join(blocks, "rep").select("value", "block").distinct(), "met")
-    pairs = met.join(met.select("value", F.col("block").alias("other")), "value").where("block <= other")
-    cells = ws.save(pairs.select("block", "other").distinct(), "cells")
+    listed = ws.save(listed.join(lists, "value", "left_semi").join(blocks, "rep"), "listed_blocks")
+    met = listed.select("value", "block").distinct()
+    pivots = ws.save(met.groupBy("value").agg(F.min("block").alias("pivot")), "pivots")
+    pairs = listed.join(pivots, "value").select(*_pair("pivot", "block")).unionByName(
+        blocks.select("block", F.col("block").alias("other"))
+    )
+    cells = ws.save(pairs.distinct(), "cells")
     release(spark)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,19 +302,31 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     chosen = spread_join(texts, blocks, ["rep"], spread_on=["text"])
     sets = ws.save(chosen.select("rep", "block", "text").mapInArrow(members, "rep long, block long, members binary"), "sets")
     release(spark)
-    cell = F.xxhash64("block", "other").alias("cell")
-    sides = cells.select(cell, "block", F.lit(0).alias("side")).unionByName(
-        cells.where("block <> other").select(cell, F.col("other").alias("block"), F.lit(1).alias("side"))
+    links = ws.save(_cell_links(cells, sets), "links")
+    release(spark)
+    found = components(links, ws)
+
+    # what the first round left: lists with several components outside their first block
+    named_sets = listed.join(pivots, "value").where("block <> pivot")
+    named_sets = spread_join(named_sets, found.withColumnRenamed("node", "rep"), ["rep"], "left", spread_on=["value"])
+    rest = named_sets.select("value", "rep", "n", "block", F.coalesce("component", "rep").alias("component"))
+    sizes = rest.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"), F.min("block").alias("low"), F.max("block").alias("high"))
+    open_lists = sizes.groupBy("value").agg(
+        F.count(F.lit(1)).alias("components"), F.max(F.struct("c", "component")).alias("main"), F.min("low").alias("low"), F.max("high").alias("high")
     )
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = sides.join(sets, "block").select("cell", "side", "rep", "members")
-    dealt = dealt.repartition(wanted, "cell").sortWithinPartitions("cell", "side", "rep")
-    links = ws.save(_compare(dealt), "links")
+    open_lists = open_lists.where("components > 1 AND low < high").select("value", F.col("main.component").alias("main"))
+    rest = ws.save(rest.join(open_lists, "value").withColumn("odd", F.col("component") != F.col("main")), "rest")
+    if not rest.isEmpty():
+        cells, again = _second_round(rest, ws)
+        more = again.join(sets.select("rep", "members"), "rep")
+        links = ws.save(_cell_links(cells, more), "links_second")
+        connected = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+        found = components(connected, Workspace(spark, "minhash_second"))
     release(spark)
 
-    found = components(links, ws).withColumnRenamed("node", "rep")
+    found = found.withColumnRenamed("node", "rep")
     # ids of components are few beside the documents, but they grow with them: measured
-    slim = named.select("doc_id", F.col("n").alias("n_shingles"), "rep")
+    slim = named.select("doc_id", F.col("n").alias("n_shingles"), "one", "two", "rep")
     slim = spread_join(slim, ws.save(found, "found"), ["rep"], "left", spread_on=["doc_id"])
     component = F.coalesce("component", "rep", "doc_id")
     return slim.select(
@@ -234,4 +335,6 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
         F.coalesce("rep", "doc_id").alias("class_id"),
         component.alias("component_id"),
         (F.col("doc_id").eqNullSafe(component)).alias("kept"),
+        "one",
+        "two",
     )

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagequarry.llm.tokens import encode_texts
+from pagequarry.llm.tokens import encode_texts, vocabulary_size
 from pagequarry.llm.words import binary_column, gathered, slices, text_bytes
 from pagequarry.session import Workspace
 
@@ -42,9 +42,10 @@ def tokenize(
 ) -> DataFrame:
     """Pieces of docs(doc_id, text): doc_id, piece, start, length, ids_crc32, and ids if kept.
 
-    ``ids`` is binary, little-endian numbers of 32 bits. The first piece of a
-    document is the one that may be shorter.
+    ``ids`` is binary, little-endian numbers of 16 bits if the vocabulary allows, else of 32;
+    :func:`widened` gives those of 32. The first piece of a document is the one that may be shorter.
     """
+    narrow = max(vocabulary_size(path), end + 1) <= 1 << 16
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", TOKENIZED_BYTES):
@@ -71,7 +72,7 @@ def tokenize(
                     pa.array(crc, pa.int64()),
                 ]
                 if keep_ids:
-                    columns.append(binary_column(ids, length))
+                    columns.append(binary_column(ids.astype("<u2") if narrow else ids, length))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -81,6 +82,23 @@ def tokenize(
     return docs.select("doc_id", "text").mapInArrow(pieces, schema)
 
 
+def widened(packed: DataFrame) -> DataFrame:
+    """packed(length, ids, ...) with ids of 32 bits."""
+    place = packed.columns.index("ids")
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length = batch.column("length").to_numpy()
+            data, offsets = text_bytes(batch.column("ids"))
+            narrow = np.diff(offsets) == 2 * length
+            if narrow.all():
+                ids = binary_column(data.view("<u2").astype("<u4"), length)
+                batch = batch.set_column(place, batch.schema.field(place), ids)
+            yield batch
+
+    return packed.mapInArrow(wide, packed.schema)
+
+
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, offset) of each length, and the fill of each sequence."""
     count = np.zeros(capacity + 1, np.int64)  # open sequences by fill
@@ -118,9 +136,12 @@ def pack(
 ) -> DataFrame:
     """pieces(length, ...) with sequence_id and offset; each length is 1 to ``capacity``."""
     rest = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    # a number of each stored row, since equal rows are packed each
-    whole = ws.save(pieces.select(*rest, F.monotonically_increasing_id().alias("_row")), "pieces")
-    left = whole.select("_row", "length")
+    # a number of each stored row, since equal rows are packed each, under a name that is free
+    row = "_row"
+    while row in {c.lower() for c in rest}:
+        row += "_"
+    whole = ws.save(pieces.select(*rest, F.monotonically_increasing_id().alias(row)), "pieces")
+    left = whole.select(F.col(row).alias("_row"), "length")
     rows = left.count()
     done: list[DataFrame] = []
     for number in itertools.count():
@@ -136,7 +157,7 @@ def pack(
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return whole.join(out.select("_row", "sequence_id", "offset"), "_row").select(*rest, "sequence_id", "offset")
+    return whole.join(out.select(F.col("_row").alias(row), "sequence_id", "offset"), row).select(*rest, "sequence_id", "offset")
 
 
 def _packed(left: DataFrame, groups: int, number: int, capacity: int) -> DataFrame:

@@ -129,7 +129,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "packing")
     path = public_tokenizers.path("byte_bpe_50k.json")
     pieces = packing.tokenize(documents(spark, sf_dir), path)
-    packed = packing.pack(pieces.drop("ids_crc32"), ws)
+    packed = packing.widened(packing.pack(pieces.drop("ids_crc32"), ws))
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )

@@ -25,6 +25,10 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
+def vocabulary_size(path: str) -> int:
+    return max(tokenizer(path)[0].get_vocab().values()) + 1
+
+
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Starts of the chunks of all texts, in order; empty texts have none."""
     plain = (data > 0x20) & (data < 0x7F)

@@ -69,6 +69,40 @@ def test_chains_and_large_groups_in_blocks(spark, ws, limit, monkeypatch):
     assert found(minhash.near_duplicates(frame(spark, rows), ws)) == expected(rows)
 
 
+def test_second_round_joins_what_the_first_left(spark, ws, monkeypatch):
+    """Groups that share lists with a larger one, in many small blocks."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 700)
+    pick = random.Random(8)
+    base = words(1, 90, 5000)
+    rows = []
+    for k in range(90):
+        text = list(base)
+        # three strands of one text, far enough apart that only some documents link
+        for place in range(0, 8 + 6 * (k % 3)):
+            text[place * 3 + k % 3] = f"strand{k % 3}x{place}"
+        for _ in range(pick.choice([0, 1, 2])):
+            text[pick.randrange(len(text))] = f"new{k}"
+        rows.append((k, " ".join(text), "x", "s", 1))
+    rounds = []
+    plain = minhash._second_round
+    monkeypatch.setattr(minhash, "_second_round", lambda *a: rounds.append(1) or plain(*a))
+    assert found(minhash.near_duplicates(frame(spark, rows), ws)) == expected(rows)
+    assert rounds
+
+
+def test_rows_that_share_an_id_are_judged_by_their_text(spark, ws):
+    a, b, c = (" ".join(words(seed, 40, 5000)) for seed in (1, 2, 3))
+    near_c = c.replace(c.split()[20], "other")
+    rows = [
+        (1, a, "x", "s", 1), (2, a, "x", "s", 1), (2, b, "x", "s", 1), (3, c, "x", "s", 1), (3, c, "x", "s", 1),
+        (3, near_c, "x", "s", 1), (3, "", "x", "s", 0), (4, None, "x", "s", 0), (None, a, "x", "s", 1), (5, b, "y", "s", 1),
+    ]
+    kept = minhash.kept_documents(frame(spark, rows, ("one", "component_id")), ws)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "one", "component_id"]
+    left = sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect())
+    assert left == sorted([("1", a), ("2", b), ("3", min(c, near_c)), ("3", ""), ("4", ""), ("None", a)])
+
+
 def test_empty_table(spark, ws):
     assert minhash.near_duplicates(frame(spark, []), ws).collect() == []
 

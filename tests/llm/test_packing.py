@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagequarry.llm import packing
@@ -37,7 +38,10 @@ def test_ids_same_as_tokenizer(tokenizer):
 def test_pieces_and_sequences(spark, ws, tokenizer, group_rows):
     rows, capacity = corpus() + EDGES, 256
     pieces = packing.tokenize(frame(spark, rows), PATH, capacity)
-    got = packing.pack(pieces, ws, capacity, group_rows).toPandas()
+    packed = packing.pack(pieces.withColumns({"_row": F.lit(3), "_ROW_": F.lit(4)}), ws, capacity, group_rows)
+    assert all(len(r["ids"]) == 2 * r["length"] for r in packed.select("ids", "length").limit(20).collect())
+    got = packing.widened(packed).toPandas()
+    assert set(got["_row"]) == {3} and set(got["_ROW_"]) == {4}
     whole = sorted([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for _, t, *_ in rows)
     made = []
     ordered = got.sort_values(["doc_id", "piece"])
