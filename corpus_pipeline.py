@@ -15,10 +15,26 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm import languages, minhash, packing, repeats, secrets
 from pagequarry.llm.ranges import small_batches
-from pagequarry.operators.spread import spread_join
 from pagequarry.session import Workspace
 
 
+# Intermediate tables of stages, which are of no use once the stage's result is written.
+_OPEN: list[Workspace] = []
+
+
+def _workspace(spark: SparkSession, docs: DataFrame, name: str) -> Workspace:
+    """A folder for a stage's tables; those of earlier stages are deleted, unless ``docs`` reads them."""
+    read = docs.inputFiles()
+    for old in list(_OPEN):
+        folder = f"/{old.root.rsplit('/', 1)[1]}/"
+        if old.spark is not spark or not any(folder in file for file in read):
+            _OPEN.remove(old)
+            if old.spark is spark:
+                old.close()
+    _OPEN.append(Workspace(spark, name))
+    return _OPEN[-1]
+
+
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents without a known language go; mixtures of known ones stay."""
     small_batches(spark)
@@ -30,24 +46,16 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: of each group of near-duplicates the document with the least id stays.
 
-    Of rows that repeat an id, one stays.
+    Rows that share an id are judged each by its own text; of those in one group one stays.
     """
     small_batches(spark)
-    ws = Workspace(spark, "pipeline_minhash")
-    found = minhash.near_duplicates(docs, ws)
-    dropped = ws.save(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
-    left = spread_join(docs, dropped, ["doc_id"], "left_anti", spread_on=["text"])
-    again = left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-    again = ws.save(again.select("doc_id"), "again")
-    single = spread_join(left, again, ["doc_id"], "left_anti", spread_on=["text"])
-    one = spread_join(left, again, ["doc_id"], "left_semi", spread_on=["text"]).dropDuplicates(["doc_id"])
-    return single.unionByName(one).select(*docs.columns)
+    return minhash.kept_documents(docs, _workspace(spark, docs, "pipeline_minhash")).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: words of windows that an earlier document has go; a document left empty goes."""
     small_batches(spark)
-    found = repeats.remove_repeats(docs, Workspace(spark, "pipeline_repeats"))
+    found = repeats.remove_repeats(docs, _workspace(spark, docs, "pipeline_repeats"))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     found = found.where("n_removed < n_words OR n_removed = 0").withColumn("text", text)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
@@ -56,6 +64,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: secrets become a mark; every document stays."""
     small_batches(spark)
+    _workspace(spark, docs, "pipeline_secrets")
     cleaned = secrets.redact(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
@@ -67,7 +76,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     pieces = packing.tokenize(docs, path)
-    return packing.pack(pieces, Workspace(spark, "pipeline_packing"))
+    return packing.widened(packing.pack(pieces, _workspace(spark, docs, "pipeline_packing")))
 
 
 STAGES = [
