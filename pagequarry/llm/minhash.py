@@ -10,12 +10,12 @@ than NEED values of two full sketches but for a chance below 1e-9, and at least
 three quarters of a smaller set; so each class is listed only under its rarest
 values, as many as leave fewer than that out, and a class that shares too few
 values is out. No pair of documents is ever made. Each class lives in one block,
-a bounded part of its largest list. Two blocks that meet in a list can be a cell, whose
-sets are compared at once, as matrix products; a cell gives no more links than
-connect what it found.
+a bounded part of its largest list. Blocks that meet in a list are compared in cells: a host
+block and as many of its guests as a task may hold, at once, as matrix products. So the host's
+sets are sent once for many guests. A cell gives no more links than connect what it found.
 
 Only components are asked for, so cells are compared in two rounds. In the first, each block meets
-itself and the first block of each of its lists. In the second, only lists whose other blocks hold
+itself and the largest block of each of its lists. In the second, only lists whose other blocks hold
 sets of more than one component are left, and there the sets outside the largest component meet all
 others: a large group of near copies, once connected, is not compared again. Every two sets of a
 list that could join two components are compared, whatever the list's length.
@@ -43,7 +43,7 @@ SHINGLE = 5
 K = 64
 NEED = 24
 THRESHOLD = 75  # per cent
-BLOCK_SHINGLES = 250_000
+BLOCK_SHINGLES = 500_000
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -181,18 +181,26 @@ def _compare(cells: DataFrame) -> DataFrame:
     return cells.select("cell", "side", "rep", "members").mapInArrow(links, "a long, b long")
 
 
-def _pair(one: str, two: str) -> list:
-    return [F.least(one, two).alias("block"), F.greatest(one, two).alias("other")]
+def _cells(hosts: DataFrame, own: DataFrame, weights: DataFrame) -> DataFrame:
+    """(cell, block, side): hosts(host, block) compared with guests, own(block) each with itself.
+
+    The guests of a host are dealt out over as many cells as their weights(block, weight) need.
+    """
+    guests = hosts.join(weights, "block")
+    parts = guests.groupBy("host").agg(F.ceil(F.sum("weight") / BLOCK_SHINGLES).alias("parts"))
+    cell = F.xxhash64("host", F.pmod(F.xxhash64("block"), F.col("parts"))).alias("cell")
+    dealt = guests.join(parts, "host").select(cell, "host", "block")
+    return (
+        dealt.select("cell", "block", F.lit(1).alias("side"))
+        .unionByName(dealt.select("cell", F.col("host").alias("block"), F.lit(0).alias("side")).distinct())
+        .unionByName(own.select(F.xxhash64("block", F.lit("own")).alias("cell"), "block", F.lit(0).alias("side")))
+    )
 
 
 def _cell_links(cells: DataFrame, sets: DataFrame) -> DataFrame:
-    """links(a, b) of cells(block, other), each compared whole, from sets(rep, block, members)."""
-    cell = F.xxhash64("block", "other").alias("cell")
-    sides = cells.select(cell, "block", F.lit(0).alias("side")).unionByName(
-        cells.where("block <> other").select(cell, F.col("other").alias("block"), F.lit(1).alias("side"))
-    )
+    """links(a, b) of cells(cell, block, side), each compared whole, from sets(rep, block, members)."""
     wanted = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = sides.join(sets, "block").select("cell", "side", "rep", "members")
+    dealt = cells.join(sets, "block").select("cell", "side", "rep", "members")
     return _compare(dealt.repartition(wanted, "cell").sortWithinPartitions("cell", "side", "rep"))
 
 
@@ -200,7 +208,7 @@ def _second_round(rest: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]
     """(cells, blocks of sets) from rest(value, rep, n, block, odd).
 
     Sets that are odd in a list, outside its largest component, move to blocks of their own, and
-    only these meet the list's other blocks.
+    only these host the list's other blocks.
     """
     odd = rest.where("odd")
     weights = odd.groupBy("value").agg(F.sum(F.col("n") + 300).alias("weight"))
@@ -208,11 +216,14 @@ def _second_round(rest: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("home.weight") / BLOCK_SHINGLES))
     moved = home.select("rep", F.xxhash64(F.lit("odd"), "home.value", part).alias("own"))
     placed = rest.join(moved, "rep", "left")
-    placed = ws.save(placed.select("value", "rep", "odd", F.coalesce("own", "block").alias("block")), "placed")
-    odd_blocks = placed.where("odd").select("value", F.col("block").alias("one")).distinct()
-    pairs = placed.select("value", "block").distinct().join(odd_blocks, "value")
-    cells = ws.save(pairs.select(*_pair("one", "block")).distinct(), "cells_second")
-    return cells, placed.select("rep", "block").distinct()
+    placed = ws.save(placed.select("value", "rep", "n", "odd", F.coalesce("own", "block").alias("block")), "placed")
+    odd_blocks = placed.where("odd").select("value", F.col("block").alias("host")).distinct()
+    hosts = placed.select("value", "block").distinct().join(odd_blocks, "value").where("host <> block")
+    own = odd_blocks.select(F.col("host").alias("block")).distinct()
+    sets = placed.select("rep", "n", "block").distinct()
+    weights = sets.groupBy("block").agg(F.sum(F.col("n") + 300).alias("weight"))
+    cells = ws.save(_cells(hosts.select("host", "block").distinct(), own, weights), "cells_second")
+    return cells, sets.select("rep", "block")
 
 
 def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -276,17 +287,22 @@ def _named(docs: DataFrame, ws: Workspace) -> DataFrame:
     lists = listed.groupBy("value").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("n") + 300).alias("weight")).where("c > 1")
     lists = ws.save(lists, "lists")
     placed = listed.join(lists, "value")
-    home = placed.groupBy("rep").agg(F.max(F.struct("c", "value", "weight")).alias("home"))
+    home = placed.groupBy("rep").agg(
+        F.max(F.struct("c", "value", "weight")).alias("home"), (F.max("n") + 300).alias("own_weight")
+    )
+    home = ws.save(home, "home")
     parts = F.ceil(F.col("home.weight") / BLOCK_SHINGLES)
     block = F.xxhash64("home.value", F.pmod(F.xxhash64("rep"), parts))
     blocks = ws.save(home.select("rep", block.alias("block")), "blocks")
     listed = ws.save(listed.join(lists, "value", "left_semi").join(blocks, "rep"), "listed_blocks")
     met = listed.select("value", "block").distinct()
-    pivots = ws.save(met.groupBy("value").agg(F.min("block").alias("pivot")), "pivots")
-    pairs = listed.join(pivots, "value").select(*_pair("pivot", "block")).unionByName(
-        blocks.select("block", F.col("block").alias("other"))
-    )
-    cells = ws.save(pairs.distinct(), "cells")
+    # the largest block of a list, so that lists of the same sets choose the same one
+    sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("c"))
+    pivot = F.max(F.struct("c", "block"))["block"].alias("pivot")
+    pivots = ws.save(met.join(sizes, "block").groupBy("value").agg(pivot), "pivots")
+    weights = blocks.join(home.select("rep", "own_weight"), "rep").groupBy("block").agg(F.sum("own_weight").alias("weight"))
+    hosts = listed.join(pivots, "value").where("block <> pivot").select(F.col("pivot").alias("host"), "block").distinct()
+    cells = ws.save(_cells(hosts, blocks.select("block").distinct(), weights), "cells")
     release(spark)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +322,7 @@ def _named(docs: DataFrame, ws: Workspace) -> DataFrame:
     release(spark)
     found = components(links, ws)
 
-    # what the first round left: lists with several components outside their first block
+    # what the first round left: lists with several components outside their largest block
     named_sets = listed.join(pivots, "value").where("block <> pivot")
     named_sets = spread_join(named_sets, found.withColumnRenamed("node", "rep"), ["rep"], "left", spread_on=["value"])
     rest = named_sets.select("value", "rep", "n", "block", F.coalesce("component", "rep").alias("component"))
