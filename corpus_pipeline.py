@@ -55,7 +55,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: words of windows that an earlier document has go; a document left empty goes."""
     small_batches(spark)
-    found = repeats.remove_repeats(docs, _workspace(spark, docs, "pipeline_repeats"))
+    # smaller blocks than alone, since the executors still hold memory from the stages before
+    found = repeats.remove_repeats(docs, _workspace(spark, docs, "pipeline_repeats"), block_bytes=5 << 20)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     found = found.where("n_removed < n_words OR n_removed = 0").withColumn("text", text)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
