@@ -45,6 +45,25 @@ def test_page_sinks(spark, ws):
     assert sorted((r.url, r.html) for r in spark.read.parquet(path).collect()) == [("https://s/a", "old"), ("https://s/b", "b")]
 
 
+def test_upsert_by_key(spark, ws):
+    def put(*rows):
+        pages = spark.createDataFrame(list(rows), "n int, url_key string, url string, html string")
+        pg.upsert_pages(pages, path, ws, "n", parts=4)
+        return {r.url_key: r.html for r in spark.read.parquet(path).collect()}
+
+    def files():
+        return {f for f in Path(path).rglob("*.parquet")}
+
+    path = ws.path("upserted")
+    first = put(*[(1, f"k{i}", "u", "old") for i in range(40)], (2, "k0", "u", "newer"), (3, None, "u", "no key"))
+    assert first == {f"k{i}": "newer" if i == 0 else "old" for i in range(40)}
+    before = files()
+    second = put((1, "k5", "u", "new"), (0, "k5", "u", "older"), (1, "k40", "u", "more"))
+    assert second == first | {"k5": "new", "k40": "more"}
+    assert put((1, "k5", "u", "new"), (1, "k40", "u", "more")) == second  # a repeated attempt
+    assert before & files()  # folders without a new page are left alone
+
+
 def test_html_responses(spark):
     df = spark.createDataFrame([("text/html; charset=utf-8",), ("image/png",)], "t string")
     assert [r[0] for r in df.select(tx.is_html_response(F.col("t"))).collect()] == [True, False]
