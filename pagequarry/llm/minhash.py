@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm.components import components, forest
 from pagequarry.llm.ranges import release
-from pagequarry.llm.words import binary_column, column_words, mix, overlaps, ragged, slices, window_hashes, window_starts
+from pagequarry.llm.words import binary_column, column_words, mix, overlaps, ragged, release_memory, slices, window_hashes, window_starts
 from pagequarry.operators.spread import spread_join
 from pagequarry.session import Workspace
 
@@ -173,6 +173,8 @@ def _compare(cells: DataFrame) -> DataFrame:
                     cell, sides = key, ([], [])
                 sides[side].append((rep, members))
         finish()
+        sides = ([], [])
+        release_memory()
         yield pa.RecordBatch.from_arrays(
             [pa.array([x for x, _ in made], pa.int64()), pa.array([x for _, x in made], pa.int64())],
             names=["a", "b"],

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagequarry.llm.ranges import id_bounds, release, text_size
-from pagequarry.llm.words import column_words, slices, text_bytes, window_hashes
+from pagequarry.llm.words import column_words, release_memory, slices, text_bytes, window_hashes
 from pagequarry.session import Workspace
 
 WINDOW = 13
@@ -192,6 +192,7 @@ def remove_repeats(
         block = _Block(_ids(table), _texts(table), plan)
         first = np.flatnonzero(np.r_[True, block.groups[1:] != block.groups[:-1]]) if len(block.groups) else []
         pieces = np.split(block.hashes, first[1:]) if len(first) else []
+        release_memory()
         return pa.table(
             {
                 "group": pa.array(block.groups[first] if len(first) else [], pa.int32()),
@@ -210,6 +211,8 @@ def remove_repeats(
         again = np.zeros(len(leaves), bool)
         again[by[1:]] = leaves[by][1:] == leaves[by][:-1]
         bits = np.split(again, np.cumsum([len(x) for x in hashes])[:-1])
+        del leaves, by, hashes, parts
+        release_memory()
         return pa.table(
             {
                 "group": table.column("group"),
@@ -254,6 +257,7 @@ def remove_repeats(
             kept.append(b" ".join(words).decode("utf-8", "replace"))
             n_words.append(int(b - a))
             n_removed.append(int(own.sum()))
+        release_memory()
         made = table.select(names)
         for name, values in (("kept_text", kept), ("n_words", n_words), ("n_removed", n_removed), ("repeats", repeats)):
             made = made.append_column(name, pa.array(values, arrow.field(name).type))

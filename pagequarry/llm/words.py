@@ -6,6 +6,7 @@ the UTF-8 bytes of a column; a null counts as an empty text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release_memory() -> None:
+    """Give what is free back to the system: workers are used again, and wait with all they hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets): text ``i`` is ``bytes[offsets[i]:offsets[i + 1]]``."""
     if isinstance(column, pa.ChunkedArray):
@@ -54,7 +63,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1)
         yield batch.slice(start, end - start)
         start = end
-    pa.default_memory_pool().release_unused()  # workers are used again
+    release_memory()
 
 
 def gathered(

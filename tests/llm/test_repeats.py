@@ -36,7 +36,7 @@ def test_same_as_brute_force(spark, ws, block, group):
 
 def test_prefixes_grow_where_groups_are_large(spark):
     docs = frame(spark, corpus())
-    plan = repeats.plan_groups(docs, 200, 64)
+    plan = repeats.plan_groups(docs, 40, 64)
     assert len(plan.levels) > 1 and plan.groups > 5
     assert (plan.levels[0] == -1).any() and not (plan.levels[-1] == -1).any()
 
