@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.functions import text as tx, urls
@@ -16,7 +16,7 @@ from pagequarry.operators.spread import (
     spread_join,
     with_place,
 )
-from pagequarry.session import Workspace
+from pagequarry.session import Workspace, read_if_present
 
 # A start tag; quoted attribute values may hold '>'.
 START_TAG = r"""<{name}(?:[^>"']|"[^"]*"|'[^']*')*+>"""
@@ -27,6 +27,8 @@ ATTRIBUTES = (
 HAS_HREF = ATTRIBUTES + r"[\s/]+href[\s=/>]"
 HREF = ATTRIBUTES + r"""[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
+RULES_IN_ROW = 100  # robots rules of a site that are tried one by one
+
 
 def page_links(
     pages: DataFrame,
@@ -174,13 +176,17 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.sum(weight).cast("long").alias("out_degree"))
 
 
-def outgoing_lists(edges: DataFrame, part_size: int = 10_000) -> DataFrame:
-    """A4: targets of each page as sorted arrays (src, part, n_parts, targets).
+def outgoing_lists(edges: DataFrame, part_size: int | None = None) -> DataFrame:
+    """A4: targets of each page as one sorted array, (src, targets).
 
-    A page with more than ``part_size`` targets gets several arrays, split by a
-    hash of the target, so no row or task grows with the largest page. The
-    edges are read more than once; store them first.
+    With a ``part_size`` the rows are (src, part, n_parts, targets): a page with
+    more targets gets several arrays, split by a hash of the target, so no row
+    or task grows with the largest page. The edges are then read more than once;
+    store them first.
     """
+    targets = F.sort_array(F.collect_list("dst")).alias("targets")
+    if part_size is None:
+        return edges.groupBy("src").agg(targets)
     degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
     n_parts = F.ceil(F.col("_n") / F.lit(part_size)).cast("int")
     large = degree.where(F.col("_n") > part_size).select("src", n_parts.alias("n_parts"))
@@ -189,7 +195,7 @@ def outgoing_lists(edges: DataFrame, part_size: int = 10_000) -> DataFrame:
     return (
         parts.withColumn("part", F.pmod(F.xxhash64("dst"), F.col("n_parts")).cast("int"))
         .groupBy("src", "part", "n_parts")
-        .agg(F.sort_array(F.collect_list("dst")).alias("targets"))
+        .agg(targets)
     )
 
 
@@ -221,21 +227,50 @@ def robots_rules(robots: DataFrame, strict: bool = False) -> DataFrame:
     return robots.select("root", F.explode(prefixes).alias("prefix")).distinct()
 
 
-def allowed_urls(found: DataFrame, robots: DataFrame, url: str = "url") -> DataFrame:
+def allowed_urls(
+    found: DataFrame,
+    robots: DataFrame,
+    url: str = "url",
+    ws: Workspace | None = None,
+    rules_in_row: int = RULES_IN_ROW,
+) -> DataFrame:
     """Rows of ``found`` whose URL no robots rule of its site forbids.
 
-    Rules of several texts of one site all hold. A URL meets only the rules of
-    its own site, which come as one array, so this is an equi-join on the site;
-    large sites are spread over tasks.
+    Rules of several texts of one site all hold; rows without a URL stay. Sites of at
+    most ``rules_in_row`` rules have them as one array, tried where the URL is. URLs of
+    larger sites meet rules by equality: each gives its own prefixes of the lengths that
+    rules of its site have, so the work grows with lengths, not with rules. Only then
+    is ``found`` stored, in ``ws`` or a workspace of its own.
     """
-    prefixes = urls.robots_prefixes(F.col("body"), F.col("root"))
-    rules = robots.groupBy(F.col("root").alias("_root")).agg(
-        F.flatten(F.collect_set(prefixes)).alias("_rules")
-    )
+    rules = robots_rules(robots).withColumnRenamed("root", "_root")
     keyed = found.withColumn("_root", urls.site_root(F.col(url)))
-    joined = spread_join(keyed, rules, ["_root"], "left", spread_on=[url])
+    lengths = (
+        rules.groupBy("_root")
+        .agg(F.count(F.lit(1)).alias("_n"), F.collect_set(F.length("prefix")).alias("_lengths"))
+        .where(F.col("_n") > rules_in_row)
+        .drop("_n")
+    )
+    if lengths.isEmpty():
+        return _without_rules(keyed, rules, url).drop("_root")
+    ws = ws or Workspace(found.sparkSession, "robots")
+    few = rules.join(lengths, "_root", "left_anti")
+    kept = ws.save(_without_rules(keyed, few, url), "kept")  # worked out once, read several times
+    own = spread_join(kept.select("_root", url).distinct(), lengths, ["_root"], spread_on=[url])
+    fitting = F.filter("_lengths", lambda n: n <= F.length(url))
+    prefixes = own.select(
+        "_root", url, F.explode(F.transform(fitting, lambda n: F.left(F.col(url), n))).alias("prefix")
+    )
+    hit = spread_join(prefixes, rules, ["_root", "prefix"], "left_semi", spread_on=[url])
+    forbidden = ws.save(hit.select(url).distinct(), "forbidden")
+    return spread_join(kept, forbidden, [url], "left_anti").drop("_root")
+
+
+def _without_rules(keyed: DataFrame, rules: DataFrame, url: str) -> DataFrame:
+    """Rows of ``keyed(_root, url, ...)`` that none of their site's rules, one array, forbids."""
+    arrays = rules.groupBy("_root").agg(F.collect_list("prefix").alias("_rules"))
+    joined = spread_join(keyed, arrays, ["_root"], "left", spread_on=[url])
     hit = F.exists("_rules", lambda rule: F.col(url).startswith(rule))
-    return joined.where(~F.coalesce(hit, F.lit(False))).drop("_root", "_rules")
+    return joined.where(~F.coalesce(hit, F.lit(False))).drop("_rules")
 
 
 def frontier_next(edges: DataFrame, crawled: DataFrame, robots: DataFrame | None = None) -> DataFrame:
@@ -248,39 +283,69 @@ def frontier_next(edges: DataFrame, crawled: DataFrame, robots: DataFrame | None
 def expand_frontier(
     edges: DataFrame, seeds: DataFrame, ws: Workspace, budget: int | None = None
 ) -> DataFrame:
-    """URLs reached from ``seeds(url)``, breadth first: (url, idx, depth).
+    """URLs reached from ``seeds(url)``, breadth first: (url, idx, depth).
 
     ``edges(src, dst[, pos])``; ``idx`` is the place in reading order: by the
     page that found it first, then by position there, then by URL. With a
-    ``budget`` only the first so many URLs are kept. Each level is sorted and
-    stored, so the plan does not grow with depth; the numbers are given at the
-    end.
+    ``budget`` only the first so many URLs are kept.
+
+    Each level is sorted and stored, so the plan does not grow with depth, and counts
+    once a row of the table ``levels`` names it. A workspace that holds levels already
+    goes on after the last of them, over the edges it stored, whatever a crawl
+    that was stopped left half-written; so a larger budget continues a smaller one.
     """
     spark = edges.sparkSession
-    if "pos" not in edges.columns:
-        edges = edges.withColumn("pos", F.lit(0))
-    edges = ws.save(
-        edges.groupBy("src", "dst").agg(F.min("pos").alias("pos")).where("src <> dst"), "edges"
-    )
-    done, depth = 0, 0
-    level = seeds.select("url").distinct().withColumn("_place", F.col("url"))
-    while True:
-        level = ws.save(
-            with_place(level.orderBy("_place", "url")).select("url", "_mid"),
-            f"reached/depth={depth}",
+    levels = _committed(spark, ws)
+    if not levels:
+        if "pos" not in edges.columns:
+            edges = edges.withColumn("pos", F.lit(0))
+        first = edges.groupBy("src", "dst").agg(F.min("pos").alias("pos")).where("src <> dst")
+        ws.save(first, "edges")
+        start = seeds.select("url").distinct().withColumn("_place", F.col("url"))
+        levels.append(_store_level(start, ws, 0))
+    stored = spark.read.parquet(ws.path("edges"))
+    while levels[-1].n and (budget is None or sum(level.n for level in levels) < budget):
+        depth = levels[-1].depth + 1
+        done = _reached(spark, ws, depth - 1)
+        parents = done.where(F.col("depth") == depth - 1).select(
+            F.col("url").alias("src"), F.col("_mid").alias("_parent")
         )
-        n, size = level.agg(F.count(F.lit(1)), F.sum(row_bytes(level))).first()
-        done += n
-        reached = spark.read.schema("url string, _mid long, depth int").parquet(ws.path("reached"))
-        if n == 0 or (budget is not None and done >= budget):
-            break
-        parents = level.select(F.col("url").alias("src"), F.col("_mid").alias("_parent"))
-        found = spread_join(edges, parents, ["src"], spread_on=["dst"], small_bytes=size)
-        level = (
+        found = spread_join(
+            stored, parents, ["src"], spread_on=["dst"], small_bytes=levels[-1].size
+        )
+        new = (
             found.groupBy(F.col("dst").alias("url"))
             .agg(F.min(F.struct("_parent", "pos")).alias("_place"))
-            .join(reached.select("url"), "url", "left_anti")
+            .join(done.select("url"), "url", "left_anti")
         )
-        depth += 1
+        levels.append(_store_level(new, ws, depth))
+    reached = _reached(spark, ws, levels[-1].depth)
     numbered = number_sorted(reached, "idx", "depth").select("url", "idx", "depth")
     return numbered if budget is None else numbered.where(F.col("idx") < budget)
+
+
+def _committed(spark: SparkSession, ws: Workspace) -> list[Row]:
+    """One row (depth, n, size) for each level that is stored as a whole, in order."""
+    levels = read_if_present(spark, ws.path("levels"))
+    return [] if levels is None else levels.distinct().orderBy("depth").collect()
+
+
+def _reached(spark: SparkSession, ws: Workspace, depth: int) -> DataFrame:
+    stored = spark.read.schema("url string, _mid long, depth int").parquet(ws.path("reached"))
+    return stored.where(F.col("depth") <= depth)
+
+
+def _store_level(level: DataFrame, ws: Workspace, depth: int) -> Row:
+    """Store a level, replacing what an unfinished attempt left, then name it."""
+    placed = with_place(level.orderBy("_place", "url")).select("url", "_mid")
+    stored = ws.save(placed, f"reached/depth={depth}")
+    sizes = stored.agg(
+        F.lit(depth).alias("depth"),
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(row_bytes(stored)), F.lit(0)).alias("size"),
+    )
+    row = sizes.first()
+    level.sparkSession.createDataFrame([row], sizes.schema).coalesce(1).write.mode("append").parquet(
+        ws.path("levels")
+    )
+    return row

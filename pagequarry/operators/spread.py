@@ -142,11 +142,18 @@ def number_sorted(stored: DataFrame, id_col: str, *runs: str) -> DataFrame:
     part = F.shiftright("_mid", PLACE_BITS)
     keys = [*runs, "_part"]
     sizes = stored.groupBy(*runs, part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*runs).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_size", F.coalesce(F.sum("_size").over(inside), F.lit(0)).alias("_offset"))
+    if runs:  # only one row for each run is in one task
+        before = Window.orderBy(*runs).rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.groupBy(*runs).agg(F.sum("_size").alias("_size")).select(
+            *runs, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+        )
+        offsets = offsets.join(F.broadcast(starts), list(runs))
+        offsets = offsets.withColumn("_offset", F.col("_offset") + F.col("_start")).drop("_start")
     return (
         stored.withColumn("_part", part)
-        .join(F.broadcast(offsets), keys)  # one row per stored partition
+        .join(F.broadcast(offsets.drop("_size")), keys)  # one row per stored partition
         .withColumn(id_col, F.col("_offset") + F.col("_mid").bitwiseAND((1 << PLACE_BITS) - 1))
         .drop("_part", "_mid", "_offset")
     )

@@ -18,7 +18,7 @@ def local_session(cores: str = "*", app: str = "pagequarry", **conf: str) -> Spa
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -50,9 +50,10 @@ class Workspace:
     any executor, and gives the optimizer real sizes for the next join.
     """
 
-    def __init__(self, spark: SparkSession, name: str = "job"):
+    def __init__(self, spark: SparkSession, name: str = "job", root: str | None = None):
+        """``root`` is a folder of the caller's choice, for a job that may go on later."""
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = root or f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"

@@ -89,6 +89,24 @@ def robots_allowed(spark, sf_dir):
     return ln.allowed_urls(pages, site_robots(spark, sf_dir)).select("page_id", "url")
 
 
+def _path_rules(spark, sf_dir):
+    """robots(root, body): each site forbids, besides its usual rules, each of its French pages."""
+    pages = table(spark, sf_dir, "pages").withColumn("root", urls.site_root(F.col("url")))
+    paths = F.collect_list(F.substr("url", F.length("root") + 1))
+    return (
+        pages.where("url LIKE '%/fr/%'")
+        .groupBy("root")
+        .agg(F.concat(F.lit("Disallow: "), F.array_join(paths, "\nDisallow: ")).alias("body"))
+        .unionByName(site_robots(spark, sf_dir))
+    )
+
+
+def robots_allowed_many(spark, sf_dir):
+    """Sites with a rule for each French page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return ln.allowed_urls(pages, _path_rules(spark, sf_dir), rules_in_row=5)
+
+
 def known_page_edges(spark, sf_dir):
     return ln.known_page_edges(wiki_pages(spark, sf_dir), WIKI_HOST)
 
@@ -131,7 +149,7 @@ def _stored_crawl(spark, sf_dir):
 
 def outgoing_lists(spark, sf_dir):
     lists = ln.outgoing_lists(_stored_crawl(spark, sf_dir))
-    return lists.select("src", "part", "n_parts", F.array_join("targets", " ").alias("targets"))
+    return lists.select("src", F.array_join("targets", " ").alias("targets"))
 
 
 def out_degree(spark, sf_dir):
@@ -148,14 +166,27 @@ def _wiki_seed(spark, sf_dir):
     return wiki_pages(spark, sf_dir).agg(F.min_by("url", "page_id").alias("url"))
 
 
-def frontier_depth(spark, sf_dir):
-    """Reading order over the wiki pages from the first one."""
+def _wiki_links(spark, sf_dir):
     pages = wiki_pages(spark, sf_dir)
     links = ln.page_links(
         pages.select("url", "html"), resolve=lambda href: urls.canonical_link(href, WIKI_HOST)
     )
-    edges = links.join(pages.select(F.col("url").alias("dst")), "dst", "left_semi")
-    return ln.expand_frontier(edges, _wiki_seed(spark, sf_dir), Workspace(spark, "frontier"))
+    return links.join(pages.select(F.col("url").alias("dst")), "dst", "left_semi")
+
+
+def frontier_depth(spark, sf_dir):
+    """Reading order over the wiki pages from the first one."""
+    ws = Workspace(spark, "frontier")
+    return ln.expand_frontier(_wiki_links(spark, sf_dir), _wiki_seed(spark, sf_dir), ws)
+
+
+def frontier_resumed(spark, sf_dir):
+    """The same order, by a crawl that stops at half of the pages and goes on from its state."""
+    ws = Workspace(spark, "frontier")
+    half = table(spark, sf_dir, "pages").count() // 2
+    edges, seed = _wiki_links(spark, sf_dir), _wiki_seed(spark, sf_dir)
+    ln.expand_frontier(edges, seed, ws, budget=half)
+    return ln.expand_frontier(edges, seed, ws)
 
 
 def pagerank_nation(spark, sf_dir):
@@ -186,6 +217,7 @@ QUERIES = {
     "flat_file_names": flat_file_names,
     "robots_rules": robots_rules,
     "robots_allowed": robots_allowed,
+    "robots_allowed_many": robots_allowed_many,
     "known_page_edges": known_page_edges,
     "nation_edges": nation_edges,
     "url_index": url_index,
@@ -197,6 +229,7 @@ QUERIES = {
     "out_degree": out_degree,
     "frontier_next": frontier_next,
     "frontier_depth": frontier_depth,
+    "frontier_resumed": frontier_resumed,
     "pagerank_nation": pagerank_nation,
     "pagerank_wiki": pagerank_wiki,
     "pagerank_crawl_one_round": pagerank_crawl_one_round,
@@ -308,6 +341,12 @@ SELECT page_id, {_NORMAL.format(u='url')} AS url FROM (SELECT *, {_KEPT.format(u
 WITH {_ROBOTS}
 SELECT page_id, url FROM pages
 WHERE NOT EXISTS (SELECT 1 FROM rules WHERE root = {_ROOT.format('url')} AND starts_with(url, prefix))""",
+    "robots_allowed_many": f"""
+WITH {_ROBOTS},
+all_rules AS (
+  SELECT root, prefix FROM rules UNION SELECT {_ROOT.format('url')}, url FROM pages WHERE url LIKE '%/fr/%')
+SELECT page_id, url FROM pages
+WHERE NOT EXISTS (SELECT 1 FROM all_rules WHERE root = {_ROOT.format('url')} AND starts_with(url, prefix))""",
     "known_page_edges": f"WITH {sql.WIKI_EDGES} SELECT src, dst, weight FROM wiki_edges",
     "nation_edges": f"WITH {sql.NATION_EDGES} SELECT src, dst, weight FROM nation_edges",
     "url_index": f"WITH {sql.WIKI} SELECT url, row_number() OVER (ORDER BY url) - 1 AS idx FROM wiki",
@@ -323,7 +362,7 @@ WHERE x::DOUBLE > 0.2""",
     "crawl_edges_first": f"WITH {_CRAWL_FIRST} SELECT src, dst FROM crawl_first",
     "outgoing_lists": f"""
 WITH {_CRAWL_ALL}
-SELECT src, 0 AS part, 1 AS n_parts, string_agg(dst, ' ' ORDER BY dst) AS targets FROM crawl_all GROUP BY src""",
+SELECT src, string_agg(dst, ' ' ORDER BY dst) AS targets FROM crawl_all GROUP BY src""",
     "out_degree": f"WITH {sql.WIKI_EDGES} SELECT src, sum(weight)::BIGINT AS out_degree FROM wiki_edges GROUP BY src",
     "frontier_next": f"""
 WITH {_CRAWL_ALL}
@@ -352,3 +391,4 @@ steps AS (SELECT src, dst, 1 AS weight FROM crawl_first WHERE src <> dst),
 {sql.pagerank('steps', 1)}
 SELECT url, round(rank, 9) AS rank FROM r1""",
 }
+ORACLES["frontier_resumed"] = ORACLES["frontier_depth"]

@@ -4,10 +4,12 @@ from collections import deque
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.functions import urls
 from pagequarry.operators import links as ln
+from pagequarry.session import Workspace
 
 
 class Hrefs(HTMLParser):
@@ -122,6 +124,29 @@ def test_robots_join(spark):
     assert got == ["https://f.example/b", "https://h.example/a"]
 
 
+@pytest.mark.parametrize("rules_in_row", [0, 2, 100])
+def test_rules_by_prefix_keys(spark, ws, rules_in_row):
+    robots = spark.createDataFrame(
+        [("https://h.example", "\n".join(f"Disallow: /{n}é" for n in range(50)) + "\nDisallow: .x")]
+        + [("https://g.example", "Disallow: /a\nDisallow: /abc/long"), ("https://unused.example", "Disallow: /")],
+        "root string, body string",
+    )
+    links = [(f"https://h.example/{n}{end}",) for n in range(60) for end in ("", "é", "éa")] * 2
+    links += [(u,) for u in ("https://g.example/ab", "https://g.example/", "https://h.example.x/", "https://f.example/a", "/b", None)]
+    found = spark.createDataFrame([(i, *row) for i, row in enumerate(links)], "n int, url string")
+    forbidden = {f"https://h.example/{n}{end}" for n in range(50) for end in ("é", "éa")} | {"https://g.example/ab"}
+    got = ln.allowed_urls(found, robots, ws=ws, rules_in_row=rules_in_row).collect()
+    assert sorted(r.n for r in got) == [i for i, (u,) in enumerate(links) if u not in forbidden]
+
+
+def test_many_rules_of_one_site(spark, ws):
+    body = "\n".join(f"Disallow: /{n}/" for n in range(0, 200_000, 2))
+    robots = spark.createDataFrame([("https://h.example", body)], "root string, body string")
+    found = spark.range(2_000).select(F.format_string("https://h.example/%d/x", F.col("id") * 101).alias("url"))
+    forbidden = [n for n in range(0, 2_000 * 101, 101) if n % 2 == 0 and n < 200_000]
+    assert ln.allowed_urls(found, robots, ws=ws).count() == 2_000 - len(forbidden)
+
+
 def model_order(graph, seed, budget=None):
     seen, queue, order = {seed: 0}, deque([seed]), []
     while queue and (budget is None or len(order) < budget):
@@ -152,6 +177,21 @@ def test_frontier_budget(spark, ws):
     assert [(r.url, r.depth) for r in sorted(got, key=lambda r: r.idx)] == model_order(graph, "a", 4)
 
 
+@pytest.mark.parametrize("stops", [(1, 7), (20, 21, 22), (59,)])
+def test_frontier_goes_on_from_its_state(spark, ws, stops):
+    graph = {f"n{i}": [f"n{(i * 7 + j) % 60}" for j in (5, 1, 3)] for i in range(60)}
+    rows = [(s, t, pos) for s, targets in graph.items() for pos, t in enumerate(targets)]
+    edges = spark.createDataFrame(rows, "src string, dst string, pos int")
+    seed = spark.createDataFrame([("n0",)], "url string")
+    for budget in (*stops, None):
+        again = Workspace(spark, root=ws.root)
+        got = sorted(ln.expand_frontier(edges, seed, again, budget).collect(), key=lambda r: r.idx)
+        assert [(r.url, r.depth) for r in got] == model_order(graph, "n0", budget)
+        # a level that was written but never named, as by a crawl that was stopped
+        depth = spark.read.parquet(ws.path("levels")).agg(F.max("depth")).first()[0] + 1
+        ws.save(spark.createDataFrame([("n1", 0), ("no such", 1)], "url string, _mid long"), f"reached/depth={depth}")
+
+
 def test_next_frontier_and_indexes(spark):
     pages = pages_of(spark, GRAPH)
     edges = ln.crawl_edges_all(pages.select("url", "html"))
