@@ -151,8 +151,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
             for part in slices(batch, "text", pieces.ENCODED_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 docs = pieces.names_of(part.column("doc_id"))
-                ids, counts = pieces.encode_texts(data, offsets, docs, path)
-                plain, plain_counts = pieces.encode_texts(data, offsets, docs, path, alpha=0.0)
+                (ids, counts), (plain, plain_counts) = pieces.encode_both(data, offsets, docs, path)
                 back, ends = pieces.decode_ids(ids, counts, path)
                 rows = range(part.num_rows)
 
