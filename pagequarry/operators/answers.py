@@ -15,8 +15,10 @@ from pagequarry.functions.fixed import (
     PROMPT_TEMPLATE,
     REFUSAL_TEMPLATE,
 )
+from pagequarry.operators.cells import nearest_in_cells
 from pagequarry.operators.nearest import nearest_counted
 from pagequarry.operators.spread import spread_join
+from pagequarry.session import Workspace
 
 # texts(item_id, text) -> (item_id, vector)
 Embedding = Callable[[DataFrame], DataFrame]
@@ -49,6 +51,20 @@ def nearest_chunks(
         k,
         "relevance",
     )
+    return _with_texts(found, store, n_questions * k)
+
+
+def chunks_in_cells(
+    questions: DataFrame, store: DataFrame, path: str, ws: Workspace, k: int = CHUNKS_PER_QUESTION
+) -> DataFrame:
+    """:func:`nearest_chunks` from an index of the chunks' vectors that
+    :func:`~pagequarry.operators.cells.build_cells` wrote."""
+    asked = questions.select(F.col("question_id").alias("query_id"), "vector")
+    found = ws.save(nearest_in_cells(store.sparkSession, path, asked, k, ws), "found")
+    return _with_texts(found, store, found.count())
+
+
+def _with_texts(found: DataFrame, store: DataFrame, most: int) -> DataFrame:
     hits = found.select(
         F.col("query_id").alias("question_id"),
         F.col("item_id").alias("chunk_id"),
@@ -57,10 +73,7 @@ def nearest_chunks(
     )
     # the texts come last, and only for chunks that were hit
     return spread_join(
-        store.select("chunk_id", "source", "page_content"),
-        hits,
-        ["chunk_id"],
-        small_bytes=n_questions * k * HIT_BYTES,
+        store.select("chunk_id", "source", "page_content"), hits, ["chunk_id"], small_bytes=most * HIT_BYTES
     ).select("question_id", "rank_no", "chunk_id", "source", "page_content", "relevance")
 
 

@@ -12,6 +12,7 @@ from pagequarry.functions.fixed import (
     RELATED_PER_WORD,
 )
 from pagequarry.operators import answers as an, related as rl
+from pagequarry.operators.cells import build_cells, nearest_in_cells
 from pagequarry.operators.nearest import nearest
 from pagequarry.operators.spread import dense_ids
 from pagequarry.plans.question_answering import build_vector_store
@@ -155,6 +156,31 @@ def nearest_chunks(spark, sf_dir):
     return _question_hits(spark, sf_dir).withColumn("relevance", shown(F.col("relevance")))
 
 
+def indexed_nearest(spark, sf_dir):
+    """The same from an index of the chunks' vectors, with most cells left out."""
+    store = _store(spark, sf_dir)
+    items = store.select(F.col("chunk_id").alias("item_id"), "vector")
+    path = stored_once(spark, sf_dir, "cells", lambda p: build_cells(items, p))
+    texts = _questions(spark, sf_dir).select(
+        F.col("question_id").alias("item_id"), F.col("question").alias("text")
+    )
+    asked = _embedding(spark, sf_dir)(texts).withColumnRenamed("item_id", "question_id")
+    hits = an.chunks_in_cells(asked, store, path, Workspace(spark, "indexed"))
+    return hits.withColumn("relevance", shown(F.col("relevance")))
+
+
+def indexed_vectors(spark, sf_dir):
+    """The nearest embeddings of every embedding, from an index."""
+    vectors = table(spark, sf_dir, "embeddings")
+    items = vectors.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    ws = Workspace(spark, "indexed")
+    build_cells(items, ws.path("index"), cell_items=100)
+    asked = items.withColumnRenamed("item_id", "query_id")
+    return nearest_in_cells(spark, ws.path("index"), asked, RELATED_PER_WORD, ws).withColumn(
+        "score", shown(F.col("score"))
+    )
+
+
 def answer_gate(spark, sf_dir):
     gated = an.gate(_questions(spark, sf_dir), _question_hits(spark, sf_dir), THRESHOLD)
     return gated.withColumn("best", shown(F.col("best")))
@@ -174,6 +200,8 @@ QUERIES = {
     "chunk_embedding": chunk_embedding,
     "chunk_embedding_trained": chunk_embedding_trained,
     "nearest_chunks": nearest_chunks,
+    "indexed_nearest": indexed_nearest,
+    "indexed_vectors": indexed_vectors,
     "answer_gate": answer_gate,
     "prompt_rows": prompt_rows,
 }
@@ -296,3 +324,13 @@ SELECT question_id, refused, {_MESSAGE},
   CASE WHEN refused THEN '' ELSE sources END AS sources
 FROM gated LEFT JOIN contexts USING (question_id)""",
 }
+ORACLES["indexed_nearest"] = ORACLES["nearest_chunks"]
+ORACLES["indexed_vectors"] = f"""
+SELECT query_id, item_id, row_number() OVER (PARTITION BY query_id ORDER BY score9 DESC, item_id) AS rank_no,
+  round(score9 + 2e-10, 6) AS score
+FROM (
+  SELECT a.vec_id AS query_id, b.vec_id AS item_id,
+    round(1 - pow(list_distance(list_transform(a.embedding, lambda x: x::DOUBLE),
+                                list_transform(b.embedding, lambda x: x::DOUBLE)), 2) / sqrt(2), 9) AS score9
+  FROM embeddings a CROSS JOIN embeddings b)
+QUALIFY rank_no <= {RELATED_PER_WORD}"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagequarry import session
 from pagequarry.functions import text as tx
-from pagequarry.sources import pages as pg, tables as tb
+from pagequarry.sources import pages as pg, quarantine as qn, tables as tb
 
 
 def key(url):
@@ -119,3 +119,31 @@ def test_token_corpus_after_an_interrupted_build(spark, ws):
     pages = spark.createDataFrame([("https://s/1", "<p>Two words</p>")], "url string, html string")
     Path(ws.path("tokens").removeprefix("file:"), "_temporary").mkdir(parents=True)
     assert [r.tokens for r in pg.token_corpus(pages, ws.path("tokens")).collect()] == [["two", "words"]]
+
+
+def test_bad_rows_are_set_aside(spark, ws):
+    rows = [(1, "u1", "text"), (None, "u2", "text"), (3, None, "  "), (4, "u4", None), (None, "u5", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, url string, content string")
+    errors = ws.path("errors")
+
+    def table():
+        return sorted((r.job, r.key, r.reason, r.n) for r in spark.read.parquet(errors).collect() if r.key) + sorted(
+            (r.job, r.reason, r.n) for r in spark.read.parquet(errors).collect() if not r.key
+        )
+
+    for _ in range(2):  # a repeated job replaces its rows
+        assert [tuple(r) for r in qn.indexable(docs, errors, ws).collect()] == [(1, "u1", "text")]
+    first = [("index", "3", "no content", 1), ("index", "4", "no content", 1)]
+    assert table() == first + [("index", "kept", 1), ("index", "no id", 1), ("index", "no id", 1)]
+    ranks = spark.createDataFrame([("u1", 0.5), ("u4", 0.25)], "url string, rank double")
+    good = qn.ranked(docs.where("doc_id IS NOT NULL"), ranks, errors, ws)
+    assert sorted((r.doc_id, r.rank) for r in good.collect()) == [(1, 0.5), (4, 0.25)]
+    qn.indexable(docs.where("doc_id = 1"), errors, ws)
+    assert table() == [("rank", "3", "no rank", 1), ("index", "kept", 1), ("rank", "kept", 2)]
+    pages = spark.createDataFrame([("u", "<html>"), (None, "<html>"), ("v", "plain"), ("w", None)], "url string, html string")
+    assert [r.url for r in qn.linkable(pages, errors, ws).collect()] == ["u"]
+    keyed = pages.select(F.col("url").alias("url_key"), F.concat("html", F.repeat(F.lit("word "), 400)).alias("html"))
+    assert sorted(r.url_key for r in qn.cleanable(keyed, errors, ws).collect()) == ["u", "v"]
+    sums = {r.job: r.n for r in spark.read.parquet(errors).groupBy("job").agg(F.sum("n").alias("n")).collect()}
+    assert sums == {"index": 1, "rank": 3, "links": 4, "clean": 4}
+    assert qn.indexable(docs.limit(0), errors, ws).count() == 0

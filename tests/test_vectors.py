@@ -11,8 +11,10 @@ from pagequarry.functions.fixed import CONTEXT_SEPARATOR
 from pagequarry.operators import answers as an, related as rl
 from pagequarry.operators.chunks import chunk_counts, make_splitter, split_documents
 from pagequarry.operators import nearest as nr
+from pagequarry.operators.cells import build_cells, nearest_in_cells
 from pagequarry.operators.nearest import nearest, normalized
 from pagequarry.plans.question_answering import ask, build_vector_store, open_vector_store
+from pagequarry.session import Workspace
 from pagequarry.sources.tables import load_model, save_model
 
 
@@ -197,11 +199,50 @@ def test_large_vocabulary_is_refused(spark):
 @pytest.mark.parametrize("tile", [7, 4_000_000])
 def test_nearest_in_tiles_with_ties(spark, monkeypatch, tile):
     monkeypatch.setattr(nr, "TILE_SCORES", tile)
-    best = nr._make_kernel(3, "cosine")
+    monkeypatch.setattr(nr, "STRIP", 5)
     items = np.array([[1.0, 0], [0, 1], [1, 0], [2, 0], [0, 0], [1, 1], [-1, 0]])
-    got = best(["p", "q"], np.array([[1.0, 0], [0, 3]]), ["g", "b", "c", "d", "e", "f", "a"], items)
-    # of equal scores the least ids
-    assert [(q, i) for q, i, _ in got] == [("p", "c"), ("p", "d"), ("p", "g"), ("q", "b"), ("q", "f"), ("q", "a")]
+    for blocks in ([slice(0, 7)], [slice(0, 3), slice(3, 4), slice(4, 7)]):
+        best = nr.Best(np.array([[1.0, 0], [0, 3]]), 3, "cosine")
+        for block in blocks:
+            best.add(["g", "b", "c", "d", "e", "f", "a"][block], items[block])
+        # of equal scores the least ids
+        q, ids, _ = best.found()
+        assert list(zip(q.tolist(), ids)) == [(0, "c"), (0, "d"), (0, "g"), (1, "b"), (1, "f"), (1, "a")]
+
+
+def test_cells_are_exact_and_most_are_not_read(spark, ws):
+    rng = np.random.default_rng(4)
+    middle = rng.normal(size=(40, 6)) * 20
+    items = (middle[:, None] + rng.normal(size=(40, 50, 6))).reshape(-1, 6)
+    items[:700] = items[0]  # a third are copies
+    queries = np.vstack([items[[0, 5, 900]], items[1000:1030] + 0.1, rng.normal(size=(5, 6)) * 20])
+    def frame(rows, name):
+        return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], f"{name} int, vector array<double>")
+    build_cells(frame(items, "item_id"), ws.path("index"), cell_items=50)
+    found = nearest_in_cells(spark, ws.path("index"), frame(queries, "query_id"), 4, ws).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: r.rank_no):
+        got.setdefault(r.query_id, []).append((r.item_id, round(r.score, 6)))
+    expected = brute(queries, items, 4, "relevance")
+    assert {q: [i for i, _ in hits] for q, hits in got.items()} == {q: [i for i, _ in h] for q, h in expected.items()}
+    cells = spark.read.parquet(ws.path("index") + "/cells")
+    assert cells.agg(F.sum("n")).first()[0] == len(items) and cells.agg(F.max("n")).first()[0] < 100
+    read = spark.read.parquet(ws.path("first")).union(spark.read.parquet(ws.path("later"))).count()
+    assert read < 0.5 * cells.count() * len(queries)
+
+
+def test_cells_without_clusters_or_items(spark, ws, vectors):
+    queries, items, qdf, idf = vectors
+    for at, (cell_items, k) in enumerate([(300, 4), (10, 4), (10, 400)]):
+        path, own = ws.path(f"index{at}"), Workspace(spark, "cells")
+        build_cells(idf, path, cell_items=cell_items)
+        found = nearest_in_cells(spark, path, qdf, k, own).collect()
+        got = {}
+        for r in sorted(found, key=lambda r: r.rank_no):
+            got.setdefault(r.query_id, []).append(r.item_id)
+        assert got == {q: [i for i, _ in h] for q, h in brute(queries, items, k, "relevance").items()}
+    build_cells(idf.limit(0), ws.path("none"))
+    assert nearest_in_cells(spark, ws.path("none"), qdf, 4, ws).collect() == []
 
 
 def test_prompts(spark, ws, word_table):
