@@ -345,7 +345,8 @@ def _store_level(level: DataFrame, ws: Workspace, depth: int) -> Row:
         F.coalesce(F.sum(row_bytes(stored)), F.lit(0)).alias("size"),
     )
     row = sizes.first()
-    level.sparkSession.createDataFrame([row], sizes.schema).coalesce(1).write.mode("append").parquet(
-        ws.path("levels")
+    named = level.sparkSession.range(1, numPartitions=1).select(
+        F.lit(row.depth).alias("depth"), F.lit(row.n).cast("long").alias("n"), F.lit(row.size).cast("long").alias("size")
     )
+    named.write.mode("append").parquet(ws.path("levels"))
     return row

@@ -4,21 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagequarry.functions import text as tx
 from pagequarry.functions.fixed import RELATED_PER_WORD, STOP_WORDS
 from pagequarry.operators.nearest import nearest_counted, normalized
-from pagequarry.operators.spread import BROADCAST_BYTES, measure, spread_join
+from pagequarry.operators.spread import BROADCAST_BYTES, spread_join
 
 
 # Two words in a hash table.
 WORD_PAIR_BYTES = 192
+TOKENS_AT_ONCE = 100_000  # whose vectors a task holds
 
 
 def word_counts(corpus: DataFrame, min_count: int = 2) -> DataFrame:
@@ -154,14 +159,20 @@ def embed_with_vectors(
     """M7 over a vector table (word, vector): mean word vector, length 1.
 
     Texts without a known word get a zero vector. If the measured vector table fits
-    in a broadcast, each text is looked up where it is, without a shuffle;
-    beyond that, words are counted per text and joined with the table.
+    in a broadcast, in its own number format, each text is looked up where it is,
+    without a shuffle; beyond that, words are counted per text and joined with the table.
     """
-    vectors = vectors.select("word", F.col("vector").cast("array<double>").alias("vector"))
+    numbers = vectors.schema["vector"].dataType.elementType
+    if not isinstance(numbers, (T.FloatType, T.DoubleType)):
+        vectors = vectors.withColumn("vector", F.col("vector").cast("array<double>"))
+    vectors = vectors.select("word", "vector")
+    width = 4 if isinstance(numbers, T.FloatType) else 8
+    size = F.octet_length("word") + 8 + width * F.size("vector")
     words = texts.select("item_id", tx.plain_words(F.col("text")).alias("_words"))
-    if measure(vectors) <= limit:
+    if (vectors.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0) <= limit:
         mean = _mean_by_broadcast(words, vectors)
     else:
+        vectors = vectors.withColumn("vector", F.col("vector").cast("array<double>"))
         counted = (
             words.select("item_id", F.explode_outer("_words").alias("word"))
             .groupBy("item_id", "word")
@@ -183,26 +194,31 @@ def embed_with_vectors(
 
 
 def _mean_by_broadcast(words: DataFrame, vectors: DataFrame) -> DataFrame:
-    rows = vectors.collect()  # measured: at most the broadcast limit
-    width = len(rows[0]["vector"]) if rows else 0
-    shared = words.sparkSession.sparkContext.broadcast(
-        ([row["word"] for row in rows], [row["vector"] for row in rows])
-    )
-
-    def means(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-        import pandas as pd
-
+    rows = vectors.toArrow()  # measured: at most the broadcast limit
+    flat = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    table = flat.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 0))
+    shared = words.sparkSession.sparkContext.broadcast((rows["word"].combine_chunks(), table))
+    schema = T.StructType([words.schema["item_id"], T.StructField("_mean", T.ArrayType(T.DoubleType()))])
+    arrow = to_arrow_schema(schema)
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = shared.value
-        place = {word: i for i, word in enumerate(known)}
-        table = np.array(table, dtype=np.float64)
         for batch in batches:
-            found = []
-            for tokens in batch["_words"]:
-                tokens = () if tokens is None else tokens
-                at = [place[token] for token in tokens if token in place]
-                found.append(table[at].mean(axis=0) if at else np.zeros(width))
-            yield pd.DataFrame({"item_id": batch["item_id"], "_mean": found})
-
-    id_type = words.schema["item_id"].dataType.simpleString()
-    return words.mapInPandas(means, f"item_id {id_type}, _mean array<double>")
+            tokens = batch.column(1)
+            own = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+            at = pc.fill_null(pc.index_in(tokens.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(batch.num_rows), own)[at >= 0]
+            at = at[at >= 0]
+            sums = np.zeros((batch.num_rows, table.shape[1]))
+            for a in range(0, len(at), TOKENS_AT_ONCE):
+                d = doc[a : a + TOKENS_AT_ONCE]
+                first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+                found = table[at[a : a + TOKENS_AT_ONCE]].astype(np.float64)
+                sums[d[first]] += np.add.reduceat(found, first, axis=0)
+            n = np.maximum(np.bincount(doc, minlength=batch.num_rows), 1)
+            mean = pa.array((sums / n[:, None]).ravel())
+            offsets = pa.array(np.arange(batch.num_rows + 1) * table.shape[1], pa.int32())
+            columns = [batch.column(0), pa.ListArray.from_arrays(offsets, mean)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return words.mapInArrow(means, schema)
