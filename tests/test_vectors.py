@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.fixed import CONTEXT_SEPARATOR
 from pagequarry.operators import answers as an, related as rl
-from pagequarry.operators.chunks import chunk_counts, make_splitter, split_documents
+from pagequarry.operators.chunks import chunk_counts, split_documents
 from pagequarry.operators import nearest as nr
 from pagequarry.operators.cells import build_cells, nearest_in_cells
 from pagequarry.operators.nearest import nearest, normalized
@@ -64,32 +64,51 @@ def texts():
     ]
 
 
+def chunked(spark, size=1000, overlap=500, **options):
+    """{number of the text: [(start, chunk), ...]} of texts() and a null."""
+    rows = [(i, t) for i, t in enumerate(texts() + [None])]
+    docs = spark.createDataFrame(rows, "source int, content string")
+    got = {i: [] for i, _ in rows}
+    for r in sorted(split_documents(docs, size, overlap, **options).collect(), key=lambda r: r.chunk_no):
+        assert r.chunk_no == len(got[r.source])
+        got[r.source].append((r.start_index, r.page_content))
+    return got
+
+
 @pytest.mark.parametrize("size, overlap", [(1000, 500), (50, 20), (10, 0)])
-def test_chunks_follow_the_rule(size, overlap):
-    split = make_splitter(size, overlap)
-    for text in texts():
-        found = split(text)
-        assert [chunk for _, chunk in found] == plain_split(text, size, overlap)
-        for start, chunk in found:
+def test_chunks_follow_the_rule(spark, size, overlap):
+    got = chunked(spark, size, overlap)
+    for i, text in enumerate(texts()):
+        assert [chunk for _, chunk in got[i]] == plain_split(text, size, overlap)
+        for start, chunk in got[i]:
             assert text[start : start + len(chunk)] == chunk and len(chunk) <= size
+    assert got[len(texts())] == []
 
 
 def test_chunk_table(spark):
-    docs = spark.createDataFrame([(f"s{i}", t) for i, t in enumerate(texts())] + [("none", None)], "source string, content string")
+    rows = [(f"s{i}", t) for i, t in enumerate(texts())] + [("none", None)]
+    docs = spark.createDataFrame(rows, "source string, content string")
     chunks = split_documents(docs)
-    got = {}
-    for r in sorted(chunks.collect(), key=lambda r: r.chunk_no):
-        got.setdefault(r.source, []).append((r.start_index, r.page_content))
-    split = make_splitter()
-    assert got == {f"s{i}": split(t) for i, t in enumerate(texts()) if split(t)}
     counts = chunk_counts(docs, chunks).first()
-    assert counts.n_documents == len(texts()) + 1 and counts.n_chunks == sum(map(len, got.values()))
+    assert counts.n_documents == len(texts()) + 1
+    assert counts.n_chunks == sum(len(plain_split(t)) for t in texts())
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_a_long_text_without_separators(spark):
+    docs = spark.createDataFrame([(1, "\U0001f600b" * 100_000)], "source int, content string")
+    made = split_documents(docs).agg(F.count("*"), F.max("start_index"), F.max(F.char_length("page_content"))).first()
+    assert tuple(made) == (399, 199_000, 1000)
 
 
 def test_chunks_by_words(spark):
+    def words(piece):
+        return F.regexp_count(piece, F.lit("[^ \n]+"))
+
     docs = spark.createDataFrame([("s", "one two three four five six")], "source string, content string")
-    words = split_documents(docs, 3, 1, length=lambda t: len(t.split())).collect()
-    assert [r.page_content for r in sorted(words, key=lambda r: r.chunk_no)] == [
+    made = split_documents(docs, 3, 1, words).collect()
+    assert [r.page_content for r in sorted(made, key=lambda r: r.chunk_no)] == [
         "one two three", "three four five", "five six"
     ]
 
