@@ -12,6 +12,7 @@ from pagequarry.functions.fixed import (
     RELATED_PER_WORD,
 )
 from pagequarry.operators import answers as an, related as rl
+from pagequarry.operators.cbow import train_cbow
 from pagequarry.operators.cells import build_cells, nearest_in_cells
 from pagequarry.operators.nearest import nearest
 from pagequarry.operators.spread import dense_ids
@@ -117,6 +118,23 @@ def chunk_embedding_trained(spark, sf_dir):
     return rl.embed_with_model(texts, load_model(_model(spark, sf_dir)))
 
 
+def cbow_vectors(spark, sf_dir):
+    """M5: (word, n, vector) of all words found twice, by context bags and negative samples."""
+    def build(path):
+        tokens = tx.plain_words(F.col("text")).alias("tokens")
+        corpus = table(spark, sf_dir, "documents").select("doc_id", tokens)
+        with Workspace(spark, "cbow") as ws:
+            train_cbow(corpus, ws).select("word", "n", "vector").write.parquet(path)
+
+    return spark.read.parquet(stored_once(spark, sf_dir, "cbow", build))
+
+
+def related_words_cbow(spark, sf_dir):
+    """Q3 with these vectors."""
+    vectors = cbow_vectors(spark, sf_dir).select("word", "vector")
+    return rl.expand_queries(user_turns(spark, sf_dir), vectors)
+
+
 def _embedding(spark, sf_dir):
     vectors = given_vectors(spark, sf_dir)
     return lambda texts: rl.embed_with_vectors(texts, vectors)
@@ -196,6 +214,8 @@ QUERIES = {
     "similar_words": similar_words,
     "related_words": related_words,
     "related_words_trained": related_words_trained,
+    "cbow_vectors": cbow_vectors,
+    "related_words_cbow": related_words_cbow,
     "roundtrip_model": roundtrip_model,
     "chunk_embedding": chunk_embedding,
     "chunk_embedding_trained": chunk_embedding_trained,
