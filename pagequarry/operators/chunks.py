@@ -20,9 +20,13 @@ _BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *
 def _pieces(text: Column, separator: str) -> Column:
     """The text cut before each separator; pieces joined again are the text."""
     mark = re.escape(separator)
-    ahead = f"(?={mark}|\\z)"
-    pattern = f"{mark}[\\s\\S]*?{ahead}|[\\s\\S]+?{ahead}" if separator else "[\\s\\S]"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if len(separator) > 1:
+        ahead = f"(?={mark}|\\z)"
+        pattern = f"{mark}[\\s\\S]*?{ahead}|[\\s\\S]+?{ahead}"
+    else:
+        pattern = f"{mark}[^{mark}]*|[^{mark}]+" if separator else "[\\s\\S]"
+    pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(F.contains(text, F.lit(separator)), pieces).otherwise(F.array(text))
 
 
 def _atoms(text: Column, size: int, length: Callable[[Column], Column], level: int = 0) -> Column:
