@@ -34,7 +34,7 @@ from pagequarry.session import Workspace
 CAPACITY = 2048
 END = 0
 GROUP_ROWS = 100_000
-TOKENIZED_BYTES = 8 << 20  # of text at once: chunks repeat
+TOKENIZED_BYTES = 4 << 20  # of text at once
 
 
 def tokenize(
