@@ -20,6 +20,8 @@ WEIGHTED_ROW_BYTES = 128
 # files and row groups without them are passed over.
 LITERAL_TERMS = 2000
 HIT_ROW_BYTES = 256
+SHARD_PAIRS = 2_000_000  # pairs of a query's term and a document that a task adds up
+SHARD_DOCS = 10  # documents of a shard for each hit that leaves it, at least
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -90,9 +92,20 @@ def _weighted_terms(terms: DataFrame, index: Index, size: BatchSize) -> DataFram
     return weighted.select(bucket_of().alias("bucket"), "term", "idf", "avg_len", best.alias("max_bm25"))
 
 
-def shard_count(df: DataFrame) -> int:
-    """One shard of the documents for each shuffle partition."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def shard_count(terms: DataFrame, index: Index, size: BatchSize, k: int) -> int:
+    """Shards of the documents: one for each shuffle partition, and more as pairs to add up need them.
+
+    A task then holds its pairs in memory, however large index and batch are. A shard that had few
+    documents would pass them all on, so this ends at SHARD_DOCS * k documents.
+    """
+    least = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = terms.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
+    found = spread_join(index.terms.select("term", "df"), asked, ["term"], small_bytes=size.term_bytes)
+    pairs = found.agg(F.sum(F.col("df") * F.col("_n"))).first()[0] or 0
+    if pairs <= least * SHARD_PAIRS:
+        return least
+    n_docs = index.stats.select("n_docs").first()[0]
+    return max(least, min(-(-pairs // SHARD_PAIRS), n_docs // (SHARD_DOCS * k)))
 
 
 def _by_shard(df: DataFrame, shards: int) -> DataFrame:
@@ -110,8 +123,9 @@ def match(
     mode: str = "any",
     rank_once: bool = False,
     size: BatchSize | None = None,
+    k: int = HITS_PER_QUERY,
 ) -> DataFrame:
-    """All matching documents: (query_id, doc_id, score, rank, _shard).
+    """All matching documents: (query_id, doc_id, score, rank, _shard); ``k`` of a query will be kept.
 
     ``mode='all'`` keeps documents that hold every term (A9). The scorer runs
     per term, so a scorer with a rank part counts it once per matching term;
@@ -119,7 +133,7 @@ def match(
     """
     terms = query_terms(queries)
     size = size or BatchSize.of(terms)
-    shards = shard_count(index.postings)
+    shards = shard_count(terms, index, size, k)
     # the bucket is the partition column of stored postings: others are not read
     stored = index.postings.where(F.col("bucket").isin(size.buckets))
     wanted = terms.select("term").distinct().limit(LITERAL_TERMS + 1).collect()
@@ -199,7 +213,7 @@ def retrieve(
     if scorer is None:
         scorer = scoring.blend()
     size = BatchSize.of(query_terms(queries))
-    matches = match(queries, index, ranks, scorer, mode, rank_once, size)
+    matches = match(queries, index, ranks, scorer, mode, rank_once, size, k)
     hits = best_hits(matches, [F.desc("score"), F.asc("doc_id")], k)
     return with_stored(hits, index, size, k).select(
         "query_id", "rank_no", "doc_id", "url", "snippet", "score", "n_hits"
@@ -211,7 +225,7 @@ def search_by_rank(
 ) -> DataFrame:
     """Q2: matching documents ordered by rank alone (L2)."""
     size = BatchSize.of(query_terms(queries))
-    matches = match(queries, index, ranks, scoring.bm25_only, mode, size=size)
+    matches = match(queries, index, ranks, scoring.bm25_only, mode, size=size, k=k)
     hits = best_hits(matches, [F.desc("rank"), F.asc("doc_id")], k)
     return with_stored(hits, index, size, k).select("query_id", "rank_no", "doc_id", "url", "rank", "n_hits")
 
