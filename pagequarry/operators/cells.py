@@ -173,11 +173,13 @@ def _meet(asked: DataFrame, queries: DataFrame, items: DataFrame, k: int) -> Dat
     every = F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))
     right = items.join(groups, "cell").withColumn("_group", every).drop("_groups")
 
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return compare_groups(left, right, k, "relevance")
+    arrow = to_arrow_schema(schema)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        return compare_groups(left, right, k, "relevance", arrow)
 
     keys = ["cell", "_group"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
 
 
 def nearest_in_cells(
