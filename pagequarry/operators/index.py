@@ -144,24 +144,37 @@ def range_count(stored: DataFrame, rows: int | None = None) -> int:
 
 def _put_all(postings: DataFrame, stored: DataFrame, path: str, folder: str) -> sg.Segment:
     """Store the four tables of a new segment, which counts once it is in the manifest."""
-    spark = postings.sparkSession
+    with Workspace(postings.sparkSession, "postings") as ws:
+        # stored, since the ranges are found in a pass of their own
+        kept = _put_postings(ws.save(postings, "counted"), path, folder)
+    return _put_others(term_statistics(kept), stored, path, folder)
 
-    def put(df: DataFrame, table: str, *partition: str) -> DataFrame:
-        target = f"{path}/{table}/segment={folder}"
-        df.write.mode("overwrite").partitionBy(*partition).parquet(target)
-        return spark.read.schema(df.schema).parquet(target)
 
-    order = ["bucket", "term", "doc_id"]
-    with Workspace(spark, "postings") as ws:
-        # stored, since the ranges are found in a pass of their own
-        counted = ws.save(postings, "counted")
-        ranges = counted.repartitionByRange(range_count(counted), *order)
-        kept = put(ranges.sortWithinPartitions(*order), "postings", "bucket")
-    put(term_statistics(kept), "terms")
-    stats = put(corpus_statistics(put(stored, "docs")), "stats").first()
+def _put_merged(part: Index, path: str, folder: str) -> sg.Segment:
+    """The same of stored segments: no second copy of postings, and term statistics are added up."""
+    _put_postings(part.postings, path, folder)
+    return _put_others(part.terms, part.docs, path, folder)
+
+
+def _put_others(terms: DataFrame, stored: DataFrame, path: str, folder: str) -> sg.Segment:
+    _put(terms, path, "terms", folder)
+    docs = _put(stored, path, "docs", folder)
+    stats = _put(corpus_statistics(docs), path, "stats", folder).first()
     return sg.Segment(folder, folder, stats["n_docs"], stats["total_len"])
 
 
+def _put(df: DataFrame, path: str, table: str, folder: str, *partition: str) -> DataFrame:
+    target = f"{path}/{table}/segment={folder}"
+    df.write.mode("overwrite").partitionBy(*partition).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def _put_postings(stored: DataFrame, path: str, folder: str) -> DataFrame:
+    order = ["bucket", "term", "doc_id"]
+    ranges = stored.repartitionByRange(range_count(stored), *order)
+    return _put(ranges.sortWithinPartitions(*order), path, "postings", folder, "bucket")
+
+
 def write(docs: DataFrame, path: str, segment: str = "base") -> None:
     """Store an index, or add a segment to one.
 
@@ -237,7 +250,7 @@ def merge_segments(spark: SparkSession, path: str) -> int:
     if len(chosen) < 2:
         return len(manifest.live)
     part = _open(spark, path, manifest, chosen)
-    made = _put_all(part.postings, part.docs, path, sg.new_folder("merged"))
+    made = _put_merged(part, path, sg.new_folder("merged"))
     left = [s for s in manifest.live if s not in chosen] + [made]
     sg.commit(spark, path, manifest.version + 1, left, manifest.id_type)
     return len(left)
