@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagequarry.operators.nearest import compare_groups, matrix, nearest
 from pagequarry.operators.spread import top_k
-from pagequarry.session import Workspace
+from pagequarry.session import Workspace, lean
 
 CELL_ITEMS = 2_000
 SAMPLE = 16
@@ -93,10 +93,11 @@ def build_cells(items: DataFrame, path: str, cell_items: int = CELL_ITEMS, table
     counts = counts.select("_centre", F.ceil(F.col("_n") / size).cast("int").alias("_parts"))
     part = F.pmod(F.xxhash64("item_id"), F.col("_parts")).cast("int")
     cut = dealt.join(F.broadcast(counts), "_centre").withColumn("_part", part)  # one row per centre
-    cut = ws.save(cut.withColumn("cell", F.shiftleft(F.col("_centre").cast("long"), 32) + F.col("_part")).drop("_parts"), "cut")
-    cut.select("cell", "item_id", "vector").repartitionByRange("cell").sortWithinPartitions("cell").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/items")
+    # not stored again: the join is cheaper than another copy of the vectors
+    cut = cut.withColumn("cell", F.shiftleft(F.col("_centre").cast("long"), 32) + F.col("_part")).drop("_parts")
+    sorted_items = cut.select("cell", "item_id", "vector").repartitionByRange("cell").sortWithinPartitions("cell")
+    with lean(items.sparkSession):
+        sorted_items.write.mode("overwrite").parquet(f"{path}/items")
     rows = cut.groupBy("cell", "_centre").agg(F.count(F.lit(1)).alias("n"), F.max("_far").alias("radius")).toArrow()
     centres = shared.value[rows["_centre"].to_numpy()]  # one row per cell
     cells = pd.DataFrame({name: rows[name].to_numpy() for name in ("cell", "n", "radius")})
